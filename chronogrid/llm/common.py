@@ -45,8 +45,13 @@ def drop_dir(spark: SparkSession, path: str) -> None:
 
 def saved(df: DataFrame, tag: str) -> DataFrame:
     """``df`` written to shared storage and read again: cuts lineage, survives lost executors."""
-    path = work_dir(df.sparkSession, tag)
-    df.write.mode("overwrite").parquet(path)
+    spark, key = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    path, before = work_dir(spark, tag), spark.conf.get(key, None)
+    spark.conf.set(key, "true")  # what this write shuffled is of no use after it
+    try:
+        df.write.mode("overwrite").parquet(path)
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

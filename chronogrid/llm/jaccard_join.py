@@ -121,28 +121,38 @@ def signatures(h: np.ndarray, bounds: np.ndarray, num: int, den: int) -> tuple[n
     return np.concatenate([x[0] for x in found]), np.concatenate([x[1] for x in found])
 
 
-def _sketches(h: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Per set, how many elements fall in each of SKETCH buckets: a pair's difference in it bounds its sets' from below."""
-    n = len(bounds) - 1
-    doc = np.repeat(np.arange(n), np.diff(bounds))
-    at = doc * SKETCH + (h & np.uint64(SKETCH - 1)).astype(np.int64)
-    return np.minimum(np.bincount(at, minlength=n * SKETCH), 65535).astype(np.uint16).reshape(n, SKETCH)
+def _sketches(h: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+    """Per set, how many elements fall in each of G buckets (at most 255 are told), G a power of two of about an eighth of its size.
+
+    Half of the buckets' differences bounds that of two sets from below; a longer sketch is folded to the length of a shorter.
+    """
+    out = []
+    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+        g = max(SKETCH, 1 << int(max(0, (b - a) // 8)).bit_length())
+        out.append(np.minimum(np.bincount((h[a:b] & np.uint64(g - 1)).astype(np.int64), minlength=g), 255).astype(np.uint8).tobytes())
+    return out
+
+
+def _folded(sketch: bytes, g: int) -> np.ndarray:
+    return np.minimum(np.frombuffer(sketch, np.uint8).reshape(-1, g).sum(axis=0, dtype=np.int32), 255)
 
 
-def _digests(words: int):
+def _near(x: bytes, y: bytes, total: int, num: int, den: int) -> bool:
+    """False only if sets with these sketches and this sum of sizes can't be similar."""
+    g = min(len(x), len(y))
+    return (den + num) * int(np.abs(_folded(x, g) - _folded(y, g)).sum()) <= (den - num) * total
+
+
+def _profiles(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
 
         for batch in batches:
-            text = batch.column(1)
-            keys, counts = [], []
-            for _, data, offsets in text_slices(text):
-                _, bounds = shingle_sets(data, offsets, words)
-                counts.append(np.diff(bounds))
+            for first, data, offsets in text_slices(batch.column(1)):
+                h, bounds = shingle_sets(data, offsets, words)
                 raw = data.tobytes().lower()
-                keys += [hashlib.blake2b(b" ".join(raw[a:b].split()), digest_size=16).digest() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-            n = np.concatenate(counts) if counts else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(n, pa.int64())], ["doc_id", "digest", "n_shingles"])
+                keys = [hashlib.blake2b(b" ".join(raw[a:b].split()), digest_size=16).digest() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(keys)), pa.array(keys, pa.binary()), pa.array(np.diff(bounds), pa.int64()), pa.array(_sketches(h, bounds), pa.binary())], ["doc_id", "digest", "n_shingles", "sketch"])
 
     return run
 
@@ -198,9 +208,9 @@ def _sets(words: int):
         for batch in batches:
             for first, data, offsets in text_slices(batch.column(1)):
                 h, bounds = shingle_sets(data, offsets, words)
-                raw, sketch = h.tobytes(), _sketches(h, bounds).tobytes()
+                raw = h.tobytes()
                 n = len(bounds) - 1
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, n), pa.array([raw[8 * a : 8 * b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary()), pa.array([sketch[2 * SKETCH * i : 2 * SKETCH * (i + 1)] for i in range(n)], pa.binary())], ["id", "hashes", "sketch"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, n), pa.array([raw[8 * a : 8 * b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())], ["id", "hashes"])
 
     return run
 
@@ -220,60 +230,74 @@ def _verified(num: int, den: int):
     return run
 
 
+def _plausible(num: int, den: int):
+    """Of rows (a, b, sizes, sketches): the pairs that these leave open."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            m, n, x, y = (batch.column(k).to_pylist() for k in range(2, 6))
+            keep = [den * min(p, q) >= num * max(p, q) and _near(u, v, p + q, num, den) for p, q, u, v in zip(m, n, x, y, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
 def _across(num: int, den: int, block: int = 512):
-    """Of rows (sig, id, component, sketch) sorted by sig: pairs of ids under one signature, of two components, that the sketches leave open."""
+    """Of rows (sig, id, component, size, sketch) sorted by sig: pairs of ids under one signature, of two components, that sizes and sketches leave open."""
 
-    def pairs(ids, comp, sketch):
-        size = sketch.sum(axis=1, dtype=np.int64)
+    def pairs(ids, comp, size, sketch):
+        short = np.stack([_folded(x, SKETCH) for x in sketch])
         for i in range(0, len(ids), block):
             for j in range(i, len(ids), block):
                 a, b = slice(i, i + block), slice(j, j + block)
-                total = size[a, None] + size[None, b]
                 open_ = comp[a, None] != comp[None, b]
                 open_ &= den * np.minimum(size[a, None], size[None, b]) >= num * np.maximum(size[a, None], size[None, b])
                 if i == j:
                     open_ &= np.tri(len(ids[a]), k=-1, dtype=bool).T
                 x, y = np.nonzero(open_)
                 for k in range(0, len(x), 1 << 16):
-                    p, q = x[k : k + (1 << 16)], y[k : k + (1 << 16)]
-                    apart = np.abs(sketch[a][p].astype(np.int32) - sketch[b][q]).sum(axis=1)
-                    # A clipped count lowers a difference, never raises it.
-                    near = (den + num) * apart <= (den - num) * total[p, q]
+                    p, q = x[k : k + (1 << 16)] + i, y[k : k + (1 << 16)] + j
+                    near = (den + num) * np.abs(short[p] - short[q]).sum(axis=1) <= (den - num) * (size[p] + size[q])
+                    near[near] = [_near(sketch[u], sketch[v], int(size[u] + size[v]), num, den) for u, v in zip(p[near], q[near], strict=True)]
                     if near.any():
-                        yield ids[a][p[near]], ids[b][q[near]]
+                        yield ids[p[near]], ids[q[near]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
 
         def closed(rows):
-            ids, comp = np.concatenate([r[1] for r in rows]), np.concatenate([r[2] for r in rows])
+            ids, comp, size = (np.concatenate([r[k] for r in rows]) for k in (1, 2, 3))
             if len(ids) > 1 and (comp != comp[0]).any():
-                for x, y in pairs(ids, comp, np.concatenate([r[3] for r in rows])):
+                for x, y in pairs(ids, comp, size, [s for r in rows for s in r[4]]):
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
 
         for b in batches:
             if not b.num_rows:
                 continue
-            sig, ids, comp = (b.column(k).to_numpy(zero_copy_only=False) for k in range(3))
-            sketch = np.frombuffer(b"".join(b.column(3).to_pylist()), np.uint16).reshape(-1, SKETCH)
+            sig, ids, comp, size = (b.column(k).to_numpy(zero_copy_only=False) for k in range(4))
+            sketch = b.column(4).to_pylist()
             cuts = np.flatnonzero(sig[1:] != sig[:-1]) + 1
             for i, j in zip([0, *cuts], [*cuts, len(sig)], strict=True):
                 if held and held[0][0] != sig[i]:
                     yield from closed(held)
                     held = []
-                held.append((sig[i], ids[i:j], comp[i:j], sketch[i:j]))
+                held.append((sig[i], ids[i:j], comp[i:j], size[i:j], sketch[i:j]))
         if held:
             yield from closed(held)
 
     return run
 
 
-def _links(candidates: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Of pairs (a, b), those whose sets are similar enough."""
+def _links(candidates: DataFrame, base: DataFrame, words: int, num: int, den: int) -> DataFrame:
+    """Of pairs (a, b), those whose sets are similar enough. The sets are made again from the texts of the pairs' documents alone."""
+    pairs = saved(candidates, "pairs")
+    ids = saved(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "ids")
+    sets = saved(base.join(ids, "doc_id", "left_semi").mapInArrow(_sets(words), "id long, hashes binary"), "sets")
+    # Rows that share an id have one set each; any two of them may link.
     x = sets.select(F.col("id").alias("a"), F.col("hashes").alias("x"))
     y = sets.select(F.col("id").alias("b"), F.col("hashes").alias("y"))
-    full = candidates.join(x, "a").join(y, "b").select("a", "b", "x", "y")
-    return full.mapInArrow(_verified(num, den), "a long, b long")
+    full = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
+    return saved(full.mapInArrow(_verified(num, den), "a long, b long").distinct(), "links")
 
 
 def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, num: int = 3, den: int = 4) -> DataFrame:
@@ -293,40 +317,36 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spark = docs.sparkSession
     small_batches(spark)
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    seen = saved(base.mapInArrow(_digests(words), "doc_id long, digest binary, n_shingles long"), "digests")
+    seen = saved(base.mapInArrow(_profiles(words), "doc_id long, digest binary, n_shingles long, sketch binary"), "profiles")
     # Copies collapse to the smallest id; the grouped minimum is combined before the shuffle.
     live = seen.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    firsts = live.groupBy("digest").agg(F.min("doc_id").alias("id"), F.max("doc_id").alias("last"), F.count("*").alias("n"))
-    firsts = saved(firsts, "classes")
-    # A text's row is its class's when no smaller id has the text.
-    later = live.join(firsts.where("n > 1"), "digest").where("doc_id > id").select("doc_id", F.col("id").alias("rep")).distinct()
+    firsts = saved(live.groupBy("digest").agg(F.min("doc_id").alias("id"), F.max("doc_id").alias("last")).where("id < last"), "classes")
+    later = live.select("digest", "doc_id").join(firsts, "digest").where("doc_id > id").select("doc_id", F.col("id").alias("rep")).distinct()
     later = saved(later, "copies")
-    reps = base.where("doc_id IS NOT NULL")
 
-    signed = reps.mapInArrow(_signed(words, num, den), "sig long, id long")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    signed = base.where("doc_id IS NOT NULL").mapInArrow(_signed(words, num, den), "sig long, id long")
     rows = signed.repartition(parts, "sig").sortWithinPartitions("sig", "id")
     # A class's first text has all signatures of its copies, so no centre is a copy.
     # Copies go here, and not before, to keep whole texts out of the shuffle.
-    shared = rows.mapInArrow(_shared, "sig long, id long, centre long")
+    shared = saved(rows.mapInArrow(_shared, "sig long, id long, centre long"), "shared")
     shared = saved(shared.join(later.select(F.col("doc_id").alias("id")).distinct(), "id", "left_anti"), "shared")
+    profile = live.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sketch")
 
     # First each set with the one centre that it shares most signatures with.
     counted = shared.where("id <> centre").groupBy("id", "centre").agg(F.count("*").alias("n"))
-    best = counted.groupBy("id").agg(F.max_by("centre", F.struct("n", -F.col("centre"))).alias("centre"))
-    involved = shared.select("id").distinct()
-    sets = saved(reps.withColumnRenamed("doc_id", "id").join(involved, "id", "left_semi").select("id", "text").mapInArrow(_sets(words), "id long, hashes binary, sketch binary"), "sets")
-    first = saved(_links(best.select(F.col("centre").alias("a"), F.col("id").alias("b")), sets, num, den), "links")
-    links = first.unionByName(later.select(F.col("rep").alias("a"), F.col("doc_id").alias("b")))
-    comp = saved(components(links), "components")
+    best = saved(counted.groupBy("id").agg(F.max_by("centre", F.struct("n", -F.col("centre"))).alias("centre")), "best")
+    both = best.join(profile, "id").join(profile.toDF("centre", "m", "other"), "centre")
+    open_ = both.select(F.col("centre").alias("a"), F.col("id").alias("b"), "m", "n", "other", "sketch").mapInArrow(_plausible(num, den), "a long, b long").distinct()
+    first = _links(open_, base, words, num, den).unionByName(later.select(F.col("rep").alias("a"), F.col("doc_id").alias("b")))
+    comp = saved(components(first), "components")
 
     # Then, under each signature, whatever pairs the components leave open.
-    placed = sets.select("id", "sketch").join(comp.withColumnRenamed("node", "id"), "id", "left").select("id", F.coalesce("component", "id").alias("component"), "sketch")
+    placed = shared.select("sig", "id").distinct().join(comp.withColumnRenamed("node", "id"), "id", "left").select("sig", "id", F.coalesce("component", "id").alias("component"))
     placed = saved(placed, "placed")
-    open_ = shared.select("sig", "id").join(placed.select("id", "component"), "id")
-    mixed = open_.groupBy("sig").agg(F.min("component").alias("p"), F.max("component").alias("q")).where("p < q").select("sig")
-    left = open_.select("sig", "id").join(mixed, "sig", "left_semi").distinct().join(placed, "id").select("sig", "id", "component", "sketch")
-    pairs = left.repartition(parts, "sig").sortWithinPartitions("sig", "id").mapInArrow(_across(num, den), "a long, b long").distinct()
-    second = saved(_links(pairs, sets, num, den), "links")
-    comp = saved(components(links.unionByName(second)), "components")
+    mixed = placed.groupBy("sig").agg(F.min("component").alias("p"), F.max("component").alias("q")).where("p < q").select("sig")
+    mixed = saved(placed.join(mixed, "sig", "left_semi"), "mixed")
+    left = mixed.join(profile, "id").select("sig", "id", "component", "n", "sketch").repartition(parts, "sig").sortWithinPartitions("sig", "id")
+    second = _links(left.mapInArrow(_across(num, den), "a long, b long").distinct(), base, words, num, den)
+    comp = saved(components(first.unionByName(second)), "components")
     return seen.select("doc_id", "n_shingles").join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
