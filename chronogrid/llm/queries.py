@@ -6,22 +6,90 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import chat_format, token_records, warc
 from .jaccard_join import jaccard_groups
+from .mixing import mix
+from .stream_dedup import exact_dedup
+
+#: File of the tokenizer that the queries encode with.
+TOKENIZER = "byte_bpe_50k.json"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(TOKENIZER))
+
+
+def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    text = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], "conv_id long, turn long, role string, text string")
+    return chat_format.digests(chat_format.prefix_targets(turns.unionByName(more))).drop("example_chars")
+
+
+def op4_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op5_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_records.round_trip(_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op6_streaming_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup(spark, f"{sf_dir}/documents.parquet")
+
+
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(_table(spark, sf_dir, "documents")).taken()
+
+
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups(_table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op9_ngram_jaccard_join": op9_ngram_jaccard_join}
+    found = (op1_chat_formatting, op4_warc_normaliser, op5_token_records, op6_streaming_dedup, op8_source_mixing, op9_ngram_jaccard_join)
+    return {f.__name__: f for f in found}
 
 
 ORACLE = {
+    "op1_chat_formatting": r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, role AS r, text AS t FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]', 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]', 'assistant', '</s>[INST] ok [/INST]'
+), measured AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, r NULLS FIRST, t NULLS FIRST) AS place,
+    length(text) + len(regexp_extract_all(text, '\\|<<SYS>>|<</SYS>>|\[INST\]|\[/INST\]|<s>|</s>|<<ROLE>>|<<SAYS>>|<</ROLE>>')) AS escaped,
+    length(role) + len(regexp_extract_all(role, '\\|<<SYS>>|<</SYS>>|\[INST\]|\[/INST\]|<s>|</s>|<<ROLE>>|<<SAYS>>|<</ROLE>>')) AS escaped_role
+  FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  sum(escaped + CASE role WHEN 'system' THEN 18 WHEN 'user' THEN 16 WHEN 'assistant' THEN 10 ELSE 9 + escaped_role + 10 + 11 END)::BIGINT AS formatted_chars,
+  (count(*) FILTER (WHERE role = 'assistant') + CASE WHEN arg_max(role, place) = 'assistant' THEN 0 ELSE 1 END)::BIGINT AS n_examples
+FROM measured GROUP BY conv_id
+""",
+    "op4_warc_normaliser": r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT *, octet_length(encode(html)) AS payload_bytes, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+FROM f
+""",
+    "op6_streaming_dedup": r"""
+WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
+SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = min(doc_id) OVER w AS kept, text_sha256
+FROM d WINDOW w AS (PARTITION BY text_sha256)
+""",
     "op9_ngram_jaccard_join": r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
