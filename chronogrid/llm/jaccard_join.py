@@ -25,8 +25,10 @@ from .common import mix64, saved, small_batches, text_slices
 from .components import components
 from .shingles import shingle_sets
 
-#: Buckets of the count vector by which far pairs are told apart before their sets are compared.
-SKETCH = 64
+#: Fewest bits of the map by which far pairs are told apart before their sets are compared.
+SKETCH = 256
+#: Signatures' rows that are looked at together; a centre with more is split.
+TOGETHER = 50_000
 #: Below this size one-deletion neighbourhoods are no proof, and single shingles are emitted.
 SMALL = 64
 _SALTS = mix64(np.arange(1, 9, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -122,25 +124,28 @@ def signatures(h: np.ndarray, bounds: np.ndarray, num: int, den: int) -> tuple[n
 
 
 def _sketches(h: np.ndarray, bounds: np.ndarray) -> list[bytes]:
-    """Per set, how many elements fall in each of G buckets (at most 255 are told), G a power of two of about an eighth of its size.
+    """Per set a bit map of about eight bits an element, a power of two long, with a bit set for each element's place.
 
-    Half of the buckets' differences bounds that of two sets from below; a longer sketch is folded to the length of a shorter.
+    Bits in which two maps differ bound the elements in which their sets differ from
+    below; a longer map is folded to the length of a shorter.
     """
     out = []
     for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-        g = max(SKETCH, 1 << int(max(0, (b - a) // 8)).bit_length())
-        out.append(np.minimum(np.bincount((h[a:b] & np.uint64(g - 1)).astype(np.int64), minlength=g), 255).astype(np.uint8).tobytes())
+        g = max(SKETCH, 1 << int(6 * (b - a)).bit_length())
+        bits = np.zeros(g, np.uint8)
+        bits[(h[a:b] & np.uint64(g - 1)).astype(np.int64)] = 1
+        out.append(np.packbits(bits).tobytes())
     return out
 
 
-def _folded(sketch: bytes, g: int) -> np.ndarray:
-    return np.minimum(np.frombuffer(sketch, np.uint8).reshape(-1, g).sum(axis=0, dtype=np.int32), 255)
+def _folded(sketch: bytes, words: int) -> np.ndarray:
+    return np.bitwise_or.reduce(np.frombuffer(sketch, np.uint64).reshape(-1, words), axis=0)
 
 
 def _near(x: bytes, y: bytes, total: int, num: int, den: int) -> bool:
-    """False only if sets with these sketches and this sum of sizes can't be similar."""
-    g = min(len(x), len(y))
-    return (den + num) * int(np.abs(_folded(x, g) - _folded(y, g)).sum()) <= (den - num) * total
+    """False only if sets with these maps and this sum of sizes can't be similar."""
+    g = min(len(x), len(y)) // 8
+    return (den + num) * int(np.bitwise_count(_folded(x, g) ^ _folded(y, g)).sum()) <= (den - num) * total
 
 
 def _profiles(words: int):
@@ -242,48 +247,92 @@ def _plausible(num: int, den: int):
     return run
 
 
-def _across(num: int, den: int, block: int = 512):
-    """Of rows (sig, id, component, size, sketch) sorted by sig: pairs of ids under one signature, of two components, that sizes and sketches leave open."""
-
-    def pairs(ids, comp, size, sketch):
-        short = np.stack([_folded(x, SKETCH) for x in sketch])
+class _Family:
+    """Sets that share signatures with one centre; tells which pairs of them sizes and maps leave open."""
+
+    def __init__(self, num: int, den: int):
+        self.num, self.den = num, den
+        self.place: dict[int, int] = {}
+        self.sizes: list[int] = []
+        self.maps: list[bytes] = []
+        self.folds: dict[int, np.ndarray] = {}
+        self.tested: np.ndarray | None = None
+
+    def add(self, doc: int, size: int, sketch: bytes) -> None:
+        self.place[doc] = len(self.sizes)
+        self.sizes.append(size)
+        self.maps.append(sketch)
+
+    def _at(self, words: int) -> np.ndarray:
+        """Maps of ``words`` words of all sets whose own are at least as long."""
+        if words not in self.folds:
+            fold = np.zeros((len(self.maps), words), np.uint64)
+            for k, m in enumerate(self.maps):
+                if len(m) >= 8 * words:
+                    fold[k] = _folded(m, words)
+            self.folds[words] = fold
+        return self.folds[words]
+
+    def pairs(self, ids: np.ndarray, comp: np.ndarray, block: int = 1024) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Open pairs of different components; a pair that was tested under an earlier signature is not told again."""
+        if self.tested is None and len(self.sizes) <= 16384:
+            self.tested = np.zeros((len(self.sizes), len(self.sizes)), bool)
+        at = np.array([self.place[int(i)] for i in ids])
+        size, words = np.array(self.sizes)[at], np.array([len(self.maps[k]) // 8 for k in at])
+        num, den = self.num, self.den
         for i in range(0, len(ids), block):
             for j in range(i, len(ids), block):
                 a, b = slice(i, i + block), slice(j, j + block)
                 open_ = comp[a, None] != comp[None, b]
                 open_ &= den * np.minimum(size[a, None], size[None, b]) >= num * np.maximum(size[a, None], size[None, b])
                 if i == j:
-                    open_ &= np.tri(len(ids[a]), k=-1, dtype=bool).T
+                    open_ &= np.tri(len(at[a]), k=-1, dtype=bool).T
+                if self.tested is not None:
+                    open_ &= ~self.tested[at[a, None], at[None, b]]
                 x, y = np.nonzero(open_)
-                for k in range(0, len(x), 1 << 16):
-                    p, q = x[k : k + (1 << 16)] + i, y[k : k + (1 << 16)] + j
-                    near = (den + num) * np.abs(short[p] - short[q]).sum(axis=1) <= (den - num) * (size[p] + size[q])
-                    near[near] = [_near(sketch[u], sketch[v], int(size[u] + size[v]), num, den) for u, v in zip(p[near], q[near], strict=True)]
-                    if near.any():
-                        yield ids[p[near]], ids[q[near]]
+                x, y = x + i, y + j
+                if self.tested is not None:
+                    self.tested[at[x], at[y]] = self.tested[at[y], at[x]] = True
+                short = np.minimum(words[x], words[y])
+                for w in np.unique(short):
+                    p, q, fold = x[short == w], y[short == w], self._at(int(w))
+                    step = max(1, (4 << 20) // (8 * int(w)))
+                    for k in range(0, len(p), step):
+                        u, v = p[k : k + step], q[k : k + step]
+                        apart = np.bitwise_count(fold[at[u]] ^ fold[at[v]]).sum(axis=1, dtype=np.int64)
+                        near = (den + num) * apart <= (den - num) * (size[u] + size[v])
+                        if near.any():
+                            yield ids[u[near]], ids[v[near]]
+
+
+def _across(num: int, den: int):
+    """Of rows (centre, part, sig, id, component, size, sketch), sorted, maps (null sig) before memberships: open pairs of two components under one signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
+        key = sig = family = None
+        ids: list[int] = []
+        comp: list[int] = []
 
-        def closed(rows):
-            ids, comp, size = (np.concatenate([r[k] for r in rows]) for k in (1, 2, 3))
-            if len(ids) > 1 and (comp != comp[0]).any():
-                for x, y in pairs(ids, comp, size, [s for r in rows for s in r[4]]):
+        def closed():
+            if len(ids) > 1 and min(comp) != max(comp):
+                for x, y in family.pairs(np.array(ids), np.array(comp)):
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+            ids.clear()
+            comp.clear()
 
         for b in batches:
-            if not b.num_rows:
-                continue
-            sig, ids, comp, size = (b.column(k).to_numpy(zero_copy_only=False) for k in range(4))
-            sketch = b.column(4).to_pylist()
-            cuts = np.flatnonzero(sig[1:] != sig[:-1]) + 1
-            for i, j in zip([0, *cuts], [*cuts, len(sig)], strict=True):
-                if held and held[0][0] != sig[i]:
-                    yield from closed(held)
-                    held = []
-                held.append((sig[i], ids[i:j], comp[i:j], size[i:j], sketch[i:j]))
-        if held:
-            yield from closed(held)
+            for centre, part, s, doc, c, size, sketch in zip(*(x.to_pylist() for x in b.columns), strict=True):
+                if (centre, part) != key or s != sig:
+                    yield from closed()
+                    if (centre, part) != key:
+                        family = _Family(num, den)
+                    key, sig = (centre, part), s
+                if s is None:
+                    family.add(doc, size, sketch)
+                else:
+                    ids.append(doc)
+                    comp.append(c)
+        yield from closed()
 
     return run
 
@@ -342,11 +391,17 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     comp = saved(components(first), "components")
 
     # Then, under each signature, whatever pairs the components leave open.
-    placed = shared.select("sig", "id").distinct().join(comp.withColumnRenamed("node", "id"), "id", "left").select("sig", "id", F.coalesce("component", "id").alias("component"))
+    placed = shared.distinct().join(comp.withColumnRenamed("node", "id"), "id", "left").select("centre", "sig", "id", F.coalesce("component", "id").alias("component"))
     placed = saved(placed, "placed")
     mixed = placed.groupBy("sig").agg(F.min("component").alias("p"), F.max("component").alias("q")).where("p < q").select("sig")
     mixed = saved(placed.join(mixed, "sig", "left_semi"), "mixed")
-    left = mixed.join(profile, "id").select("sig", "id", "component", "n", "sketch").repartition(parts, "sig").sortWithinPartitions("sig", "id")
+    # Signatures of one centre are looked at together, for their pairs are mostly the same;
+    # a centre of many rows is split by signature. Each part gets its sets' maps once.
+    split = mixed.groupBy("centre").agg(F.ceil(F.count("*") / TOGETHER).alias("parts"))
+    members = saved(mixed.join(split, "centre").withColumn("part", F.pmod(F.xxhash64("sig"), "parts")).select("centre", "part", "sig", "id", "component"), "members")
+    maps = members.select("centre", "part", "id").distinct().join(profile, "id").select("centre", "part", F.lit(None).cast("long").alias("sig"), "id", F.lit(None).cast("long").alias("component"), "n", "sketch")
+    rows = members.select("*", F.lit(None).cast("long").alias("n"), F.lit(None).cast("binary").alias("sketch")).unionByName(maps)
+    left = rows.repartition(parts, "centre", "part").sortWithinPartitions("centre", "part", F.col("sig").asc_nulls_first(), "id")
     second = _links(left.mapInArrow(_across(num, den), "a long, b long").distinct(), base, words, num, den)
     comp = saved(components(first.unionByName(second)), "components")
     return seen.select("doc_id", "n_shingles").join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
