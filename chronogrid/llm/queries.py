@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat_format, token_records, warc
+from . import chat_format, quality, token_records, toxicity, warc
+from .decontaminate import matches
 from .jaccard_join import jaccard_groups
+from .line_templates import without_templates
 from .mixing import mix
 from .stream_dedup import exact_dedup
 
@@ -32,6 +34,16 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.prefix_targets(turns.unionByName(more))).drop("example_chars")
 
 
+def op2_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = without_templates(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.length("text").cast("long").alias("kept_chars"), F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op3_quality_co_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, _table(spark, sf_dir, "labels")))
+
+
 def op4_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
@@ -44,6 +56,10 @@ def op6_streaming_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(spark, f"{sf_dir}/documents.parquet")
 
 
+def op7_benchmark_edit_matching(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_table(spark, sf_dir, "documents")).taken()
 
@@ -52,8 +68,13 @@ def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups(_table(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_chat_formatting, op4_warc_normaliser, op5_token_records, op6_streaming_dedup, op8_source_mixing, op9_ngram_jaccard_join)
+    found = (op1_chat_formatting, op2_line_templates, op3_quality_co_training, op4_warc_normaliser, op5_token_records, op6_streaming_dedup, op7_benchmark_edit_matching, op8_source_mixing, op9_ngram_jaccard_join, op10_toxicity)
     return {f.__name__: f for f in found}
 
 

@@ -1,11 +1,12 @@
 """Toxicity by a subsequence string-kernel support vector machine with Nyström landmarks.
 
 Kernel. A text unit (a run of non-space characters; runs of single characters are read
-as one unit too) maps to its subsequences of three characters within a window, each
+as one unit too), with marks at both ends, maps to its subsequences of four characters
+within a window, each
 weighted by DECAY to the power of its span; so a gap or an inserted character lowers a
 match and does not end it. Units are scaled by the norm that a unit of their length with
-distinct subsequences would have. Characters are folded first: case, accents, digits that
-stand for letters.
+distinct subsequences would have. Case and digits that stand for letters are folded, and
+other characters than letters left out.
 
 Training. Landmarks are the pieces of units that tell toxic from other texts best, and
 frequent other units. Nyström features of a unit are its kernel values at
@@ -25,41 +26,45 @@ remember the margins of units they have seen.
 from __future__ import annotations
 
 import re
-import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .common import saved, small_batches
 
-#: Kernel: span decay and largest span of three characters.
+#: Kernel: span decay and largest span of four characters.
 DECAY, WINDOW = 0.7, 7
 #: Bounds of training: labelled texts of each class, characters of them, landmarks, other units.
-MOST_TEXTS, MOST_CHARS, LANDMARKS, OTHERS = 1500, 8_000_000, 96, 8_000
-ROUNDS, GRAM = 4, 5
+MOST_TEXTS, MOST_CHARS, LANDMARKS, OTHERS = 1500, 8_000_000, 160, 8_000
+ROUNDS, GRAMS = 4, (5, 7, 9)
 CACHE = 300_000
 #: Fixed folding of characters that stand for letters.
 STANDS_FOR = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"}
 SENTENCE = re.compile(r"(?<=[.!?])\s+|\n")
 _SINGLES = re.compile(r"(?<!\S)\S(?:\s\S(?!\S)){2,}")
 
-_ALPHABET = 35  # 0 is left out; 1-26 letters; 27-34 other letters
+_ALPHABET = 45  # 0 is left out; 1-26 letters; 27-42 other letters; 43 and 44 the ends of a unit
+_BITS = 20  # subsequences are numbered by a hash
+_NUMBERS = 1 << _BITS
+_BEGIN, _END = "\2", "\3"
 
 
 def _codes() -> np.ndarray:
     table = np.zeros(0x3000, np.uint8)
     for c in range(len(table)):
-        plain = unicodedata.normalize("NFKD", chr(c))[0].lower()
-        if "a" <= plain <= "z":
-            table[c] = ord(plain) - 96
-        elif chr(c).isalpha():
-            table[c] = 27 + c % 8
+        low = chr(c).lower()[0]
+        if "a" <= low <= "z":
+            table[c] = ord(low) - 96
+        elif low.isalpha():
+            table[c] = 27 + ord(low) % 16
     for c, letter in STANDS_FOR.items():
         table[ord(c)] = ord(letter) - 96
+    table[ord(_BEGIN)], table[ord(_END)] = 43, 44
     return table
 
 
@@ -68,8 +73,9 @@ CODES = _codes()
 
 def coded(units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(character codes of all units, index of the unit of each, length of each unit); other characters than letters and their stand-ins are left out."""
+    units = [f"{_BEGIN}{u}{_END}" for u in units]
     chars = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32)
-    codes = np.where(chars < len(CODES), CODES[np.minimum(chars, len(CODES) - 1)], 27 + chars % 8).astype(np.int64)
+    codes = np.where(chars < len(CODES), CODES[np.minimum(chars, len(CODES) - 1)], 27 + chars % 16).astype(np.int64)
     own = np.repeat(np.arange(len(units)), np.fromiter(map(len, units), np.int64, len(units)))
     keep = codes > 0
     codes, own = codes[keep], own[keep]
@@ -79,20 +85,24 @@ def coded(units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def subsequences(codes: np.ndarray, own: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
     """(unit, subsequence number, weight) of all subsequences, one placing after another."""
     n = len(codes)
-    for second in range(2, WINDOW):
-        if n <= second:
+    for span in range(3, WINDOW):
+        if n <= span:
             break
-        whole = np.flatnonzero(own[: n - second] == own[second:])
-        for first in range(1, second):
-            yield own[whole], (codes[whole] * _ALPHABET + codes[whole + first]) * _ALPHABET + codes[whole + second], DECAY ** (second + 1)
+        whole = np.flatnonzero(own[: n - span] == own[span:])
+        units, ends = own[whole], codes[whole] * _ALPHABET**3 + codes[whole + span]
+        inner = [codes[whole + k] for k in range(span)]
+        for second in range(1, span - 1):
+            for third in range(second + 1, span):
+                number = ends + (inner[second] * _ALPHABET + inner[third]) * _ALPHABET
+                yield units, (number * 0x9E3779B1 >> 12) & (_NUMBERS - 1), DECAY ** (span + 1)
 
 
 def norms(lengths: np.ndarray) -> np.ndarray:
-    """Norm of a unit of each length whose subsequences are all distinct; that of three characters at least."""
+    """Norm of a unit of each length, ends included, whose subsequences are all distinct; that of one subsequence at least."""
     total = np.zeros(len(lengths))
-    for second in range(2, WINDOW):
-        total += np.maximum(lengths - second, 0) * (second - 1) * DECAY ** (2 * (second + 1))
-    return np.sqrt(np.maximum(total, DECAY**6))
+    for span in range(3, WINDOW):
+        total += np.maximum(lengths - span, 0) * ((span - 1) * (span - 2) // 2) * DECAY ** (2 * (span + 1))
+    return np.sqrt(np.maximum(total, DECAY**8))
 
 
 def units_of(text: str) -> list[str]:
@@ -127,34 +137,48 @@ class Model:
 
 def _features(units: list[str], landmarks: list[str]) -> np.ndarray:
     """Kernel values of units at landmarks."""
-    wide = np.zeros((_ALPHABET**3, len(landmarks)), np.float32)
     codes, own, lengths = coded(landmarks)
-    for unit, number, weight in subsequences(codes, own):
-        np.add.at(wide, (number, unit), weight)
+    found = list(subsequences(codes, own))
+    used = np.unique(np.concatenate([number for _, number, _ in found]))
+    place = np.full(_NUMBERS, -1, np.int32)
+    place[used] = np.arange(len(used))
+    wide = np.zeros((len(used), len(landmarks)), np.float32)
+    for unit, number, weight in found:
+        np.add.at(wide, (place[number], unit), weight)
     wide /= norms(lengths)[None, :]
-    used = wide.any(axis=1)
     out = np.zeros((len(units), len(landmarks)))
     codes, own, lengths = coded(units)
     for unit, number, weight in subsequences(codes, own):
-        hit = used[number]
-        unit, number = unit[hit], number[hit]
+        at = place[number]
+        hit = at >= 0
+        unit, at = unit[hit], at[hit]
         if len(unit):
             heads = np.flatnonzero(np.append(True, unit[1:] != unit[:-1]))
-            out[unit[heads]] += weight * np.add.reduceat(wide[number], heads, axis=0)
+            out[unit[heads]] += weight * np.add.reduceat(wide[at], heads, axis=0)
     return out / norms(lengths)[:, None]
 
 
-def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1e-4, steps: int = 300) -> tuple[np.ndarray, float]:
-    """Linear SVM of squared hinge loss, by accelerated gradient descent from zero."""
+def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1e-4, steps: int = 40) -> tuple[np.ndarray, float]:
+    """Linear SVM of squared hinge loss, by Newton steps on the points inside the margin, halved where they overshoot."""
     x1 = np.hstack([x, np.ones((len(x), 1))])
     weight = weight / weight.sum()
-    rate = 1 / (2 * float((weight[:, None] * x1**2).sum()) + penalty)
-    w = last = np.zeros(x1.shape[1])
-    for k in range(steps):
-        v = w + (k / (k + 3)) * (w - last)
-        slack = np.maximum(0, 1 - y * (x1 @ v))
-        grad = -2 * (x1 * (weight * slack * y)[:, None]).sum(axis=0) + penalty * np.append(v[:-1], 0)
-        last, w = w, v - rate * grad
+    ridge = np.diag(np.append(np.full(x.shape[1], penalty), 1e-9))
+    w = np.zeros(x1.shape[1])
+
+    def loss(v):
+        return float((weight * np.maximum(0, 1 - y * (x1 @ v)) ** 2).sum() + v @ ridge @ v)
+
+    now = loss(w)
+    for _ in range(steps):
+        inside = 1 - y * (x1 @ w) > 0
+        part = x1[inside] * weight[inside][:, None]
+        step = np.linalg.solve(part.T @ x1[inside] + ridge, part.T @ y[inside]) - w
+        rate = 1.0
+        while (then := loss(w + rate * step)) > now and rate > 1e-4:
+            rate /= 2
+        w, gain, now = w + rate * step, now - then, then
+        if gain < 1e-9:
+            break
     return w[:-1], float(w[-1])
 
 
@@ -173,7 +197,8 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def _grams(unit: str) -> set[str]:
-    return {unit[i : i + GRAM] for i in range(max(1, len(unit) - GRAM + 1))}
+    ended = f"^{unit}$"
+    return {ended[i : i + n] for n in GRAMS for i in range(len(ended) - n + 1)} or {ended}
 
 
 def _inserted(unit: str, rng: np.random.Generator) -> str:
@@ -186,7 +211,7 @@ def train(texts: list[str], labels: list[int]) -> Model:
     y = np.array(labels)
     if len(set(labels)) < 2:
         share = (int((y == 1).sum()) + 1) / (len(y) + 2)
-        return Model(np.zeros(_ALPHABET**3, np.float32), 0.0, 0.0, float(np.log(share / (1 - share))), 0.0)
+        return Model(np.zeros(_NUMBERS, np.float32), 0.0, 0.0, float(np.log(share / (1 - share))), 0.0)
     rng = np.random.Generator(np.random.PCG64(11))
     plain = lambda u: "".join(c for c in u[:64] if c.isalnum() or c in STANDS_FOR)
     bags = [[sorted({plain(u) for u in units_of(s)} - {""}) for s in SENTENCE.split(t or "")] for t in texts]
@@ -208,7 +233,8 @@ def train(texts: list[str], labels: list[int]) -> Model:
     told = {g: e for g in grams[1] if len(g) >= 3 and (e := evidence(g)) > 0}
     worth = sorted(told, key=lambda g: (-told[g], g))
     common = sorted((u for u in units_in[0] if len(u) >= 3), key=lambda u: (-units_in[0][u], u))
-    landmarks = list(dict.fromkeys(worth[: LANDMARKS * 2 // 3] + common[: LANDMARKS // 3])) or common or ["aaa"]
+    bare = lambda g: g.removeprefix("^").removesuffix("$")
+    landmarks = list(dict.fromkeys([bare(g) for g in worth[: LANDMARKS * 2 // 3]] + common[: LANDMARKS // 3])) or ["aaa"]
     clean = sorted(units_in[0])
     base = list(dict.fromkeys(common[: OTHERS // 3] + clean[:: max(1, len(clean) * 3 // (2 * OTHERS))]))
     toxic = [(k, s) for k in np.flatnonzero(y == 1) for s in range(len(bags[k])) if bags[k][s]]
@@ -245,11 +271,11 @@ def train(texts: list[str], labels: list[int]) -> Model:
         x = np.vstack([phi(spoken), phi(varied), phi(base)])
         t = np.append(np.ones(2 * len(spoken)), -np.ones(len(base)))
         w_toxic = np.array([1.0 + np.log1p(witness[u]) for u in spoken])
-        w = np.concatenate([w_toxic, 0.5 * w_toxic, np.array([1.0 + np.log1p(units_in[0][u]) for u in base])])
+        w = np.concatenate([w_toxic, 0.5 * w_toxic, np.array([units_in[0][u] ** 0.75 for u in base])])
         w[: 2 * len(spoken)] *= 0.5 * w[2 * len(spoken) :].sum() / w[: 2 * len(spoken)].sum()
         coefficient, bias = _svm(x, t, w)
         # margin(u) = k(u, landmarks) @ beta + bias, and k is linear in u's subsequences.
-        table = np.zeros(_ALPHABET**3)
+        table = np.zeros(_NUMBERS)
         scaled = root @ coefficient / norms(lengths)
         for unit, number, weight in subsequences(codes, own):
             np.add.at(table, number, weight * scaled[unit])
@@ -262,27 +288,33 @@ def train(texts: list[str], labels: list[int]) -> Model:
         base = list(dict.fromkeys(base + [clean[i] for i in worst if hard[i] > -0.9]))
     if model is None:
         share = (n[1] + 1) / (len(y) + 2)
-        return Model(np.zeros(_ALPHABET**3, np.float32), 0.0, 0.0, float(np.log(share / (1 - share))), 0.0)
+        return Model(np.zeros(_NUMBERS, np.float32), 0.0, 0.0, float(np.log(share / (1 - share))), 0.0)
     top = np.array([max(model.margins(u).max(), bias) if (u := [x for s in bag for x in s]) else bias for bag in bags])
     model.slope, model.offset = _logistic(top, y)
     return model
 
 
+def _highest(model: Model, known: dict[str, float], texts: list[str | None]) -> np.ndarray:
+    """Each text's highest margin; ``known`` remembers those of units."""
+    top = []
+    for a in range(0, len(texts), 64):
+        units = [units_of(t or "") for t in texts[a : a + 64]]
+        if len(known) > CACHE:
+            known.clear()
+        new = list({u for us in units for u in us if u not in known})
+        for i in range(0, len(new), 8192):
+            part = new[i : i + 8192]
+            known.update(zip(part, model.margins(part).tolist(), strict=True))
+        top += [max(max(map(known.__getitem__, us)), model.floor) if us else model.floor for us in units]
+    return np.array(top, float)
+
+
 def _scored(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, float] = {}
         for batch in batches:
-            top = []
-            for a in range(0, batch.num_rows, 64):
-                texts = [units_of(t or "") for t in batch.column(1).slice(a, 64).to_pylist()]
-                if len(known) > CACHE:
-                    known.clear()
-                new = list({u for us in texts for u in us if u not in known})
-                for i in range(0, len(new), 8192):
-                    part = new[i : i + 8192]
-                    known.update(zip(part, model.margins(part).tolist(), strict=True))
-                top += [max(max(map(known.__getitem__, us)), model.floor) if us else model.floor for us in texts]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.score(np.array(top, float)), pa.float64())], ["doc_id", "score"])
+            top = _highest(model, known, batch.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.score(top), pa.float64())], ["doc_id", "score"])
 
     return run
 
@@ -323,3 +355,14 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     scored = base.mapInArrow(_scored(model), "doc_id long, score double")
     return scored.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def accepted(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs``, all columns, whose score is under 0.5; decided row by row."""
+    small_batches(docs.sparkSession)
+    known: dict[str, float] = {}
+
+    def clean(text: pd.Series) -> pd.Series:
+        return pd.Series(model.score(_highest(model, known, list(text))) < 0.5, dtype=bool)
+
+    return docs.where(F.pandas_udf(clean, "boolean")(F.col("text").cast("string")))

@@ -1,10 +1,68 @@
-"""Corpus pipeline: stages over ``documents``, each written as Parquet and read again by the next."""
+"""Corpus pipeline: stages over ``documents``, each written as Parquet and read again by the next.
+
+    toxicity        documents with a toxicity score of a half or more go
+    near_duplicates of each group of documents linked by shingle similarity, the one with the smallest id stays
+    benchmark       documents that hold a test item within its edits go
+    mix             sources are mixed to their target weights; a document's words come as often as the mix takes them
+    tokens          what is left is written as token records, and their read-back index is the result
+
+All stages but the last return the columns of their input.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+
+from chronogrid.llm import decontaminate, queries, token_records, toxicity
+from chronogrid.llm.common import saved
+from chronogrid.llm.jaccard_join import jaccard_groups
+from chronogrid.llm.mixing import mix
+
+
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score is under 0.5. The model is trained on labelled documents of the stage's input."""
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.accepted(docs, model)
+
+
+def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group: the one with the smallest id. Documents without words, or without an id, all stay."""
+    groups = jaccard_groups(docs).where("doc_id <> component_id").select("doc_id").distinct()
+    first = docs.join(saved(groups, "near-copies"), "doc_id", "left_anti")
+    # Rows that repeat an id are one document.
+    return first.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(first.where("doc_id IS NULL"))
+
+
+def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no test item within its edits."""
+    return decontaminate.decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix of the sources: a row for each document and pass that takes words of it, text and n_chars to match."""
+    return mix(docs).texts(docs)
+
+
+def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token records of all documents in order of doc_id; doc_id, start, n_tokens and ids_crc32 as read back from the files."""
+    return token_records.round_trip(docs, queries.tokenizer_path())
+
+
+STAGES = [
+    ("toxicity", toxicity_stage),
+    ("near_duplicates", near_duplicates_stage),
+    ("benchmark", benchmark_stage),
+    ("mix", mix_stage),
+    ("tokens", tokens_stage),
+]
+
+#: SQL can express neither the classifier nor the edit matching, the draws and the tokenizer.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; what a stage returns is written and read again as the next one's input."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = saved(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
