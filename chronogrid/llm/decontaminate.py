@@ -157,6 +157,17 @@ def matches(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataFrame:
     return out
 
 
+def _clean(items: list[tuple[int, str]], rate: float):
+    state: list[Matcher] = []
+
+    def run(text: pd.Series) -> pd.Series:
+        if not state:
+            state.append(Matcher(items, rate))
+        return pd.Series([not state[0].find(t or "") for t in text], dtype=bool)
+
+    return run
+
+
 def decontaminated(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataFrame:
     """The rows of ``docs``, all columns, whose texts hold no test item within its edits.
 
@@ -164,12 +175,5 @@ def decontaminated(docs: DataFrame, items: DataFrame, rate: float = RATE) -> Dat
     """
     small_batches(docs.sparkSession)
     for block in _blocks(items):
-        state: list[Matcher] = []
-
-        def clean(text: pd.Series, block=block, state=state) -> pd.Series:
-            if not state:
-                state.append(Matcher(block, rate))
-            return pd.Series([not state[0].find(t or "") for t in text], dtype=bool)
-
-        docs = docs.where(F.pandas_udf(clean, "boolean")(F.col("text").cast("string")))
+        docs = docs.where(F.pandas_udf(_clean(block, rate), "boolean")(F.col("text").cast("string")))
     return docs
