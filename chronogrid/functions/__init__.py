@@ -1 +1 @@
-"""Functions of the engine."""
+"""Scalar functions as Spark columns; all stay inside generated code."""

@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-FLAGSHIP = "tumbling_tiles"
+from . import grid_queries, sequence_queries
+
+FLAGSHIP = "gap_clusters"
+_ALL = sequence_queries.QUERIES | grid_queries.QUERIES
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {name: f for name, (f, _) in _ALL.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: sql.strip() for name, (_, sql) in _ALL.items() if sql}
