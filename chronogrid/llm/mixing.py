@@ -152,12 +152,13 @@ class Mix:
 
     def rows(self) -> DataFrame:
         """The mix: shard, slot, pass, source_no, block, doc_id, text_key, start, first_word, words. A block of several documents has a row for each."""
-        return self.slots.join(self.pieces, ["source_no", "block"])
+        # Both sides grow with the input, whatever the planner takes their sizes for.
+        return self.slots.join(self.pieces.hint("merge"), ["source_no", "block"])
 
     def taken(self) -> DataFrame:
         """Per document: doc_id, size, source_size, target, taken (words that the mix takes of it, repeats counted)."""
         took = self.rows().groupBy("source_no", "start").agg(F.sum("words").alias("taken"))
-        some = self.placed.where("size > 0").join(took, ["source_no", "start"], "left")
+        some = self.placed.where("size > 0").join(took.hint("merge"), ["source_no", "start"], "left")
         all_ = some.unionByName(self.placed.where("size = 0"), allowMissingColumns=True)
         return all_.join(F.broadcast(self.sources.select("source_no", "source_size", "target")), "source_no").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
@@ -169,7 +170,7 @@ class Mix:
         Documents of which nothing is taken are not in the mix.
         """
         took = self.rows().groupBy("source_no", "start", "pass").agg(F.sort_array(F.collect_list(F.struct("first_word", "words"))).alias("__runs"))
-        took = took.join(self.placed.where("size > 0"), ["source_no", "start"]).select("doc_id", "text_key", "start", "source_no", "pass", "__runs")
+        took = took.join(self.placed.where("size > 0").hint("merge"), ["source_no", "start"]).select("doc_id", "text_key", "start", "source_no", "pass", "__runs")
         # Rows that repeat an id and a text are alike: the n-th of them takes the n-th place.
         nth = took.select("doc_id", "text_key", "source_no", "start", "pass", "__runs", F.dense_rank().over(Window.partitionBy("doc_id", "text_key").orderBy("source_no", "start")).alias("__nth"))
         took = nth.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "__nth", "__runs")

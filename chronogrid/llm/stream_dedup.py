@@ -1,7 +1,6 @@
 """Exact deduplication by a stateful stream.
 
-Files of documents stream in. Each task first folds its own rows of a text to one, then
-a keyed state without expiry, kept on disk by RocksDB, holds for every digest its
+Files of documents stream in. A keyed state without expiry, kept on disk by RocksDB, holds for every digest its
 smallest id, the content locator (file and row) of that document, and the number of
 rows. A digest is only a hint: rows that hit a digest are held against the full text at
 the locator, and rows whose text differs form groups of their own.
@@ -9,17 +8,12 @@ the locator, and rows whose text differs form groups of their own.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import saved, small_batches, work_dir
+from .common import saved, work_dir
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-_STATE = "id long, locator string, copies long"
 _OUT = "digest string, id long, locator string, copies long"
 
 
@@ -35,59 +29,37 @@ def _located(df: DataFrame, id_col: str, text_col: str, digest_hex: int) -> Data
     return located.withColumn("digest", F.substring("text_sha256", 1, digest_hex))
 
 
-def _first(a: tuple, b: tuple) -> tuple:
-    """The smaller of two (id, locator); a null id is last."""
-    return min(a, b, key=lambda x: (x[0] is None, x[0] or 0, x[1]))
-
-
-def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row for each digest of a task's rows, so a text that fills the input reaches the state once a task."""
-    seen: dict[str, tuple] = {}
-
-    def batch():
-        rows = [(k, *v) for k, v in seen.items()]
-        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.int64(), pa.string(), pa.int64()))], ["digest", "id", "locator", "copies"])
-
-    for b in batches:
-        for digest, doc, locator in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
-            old = seen.get(digest)
-            seen[digest] = (doc, locator, 1) if old is None else (*_first(old[:2], (doc, locator)), old[2] + 1)
-        if len(seen) > 500_000:  # memory stays bounded; the state folds what is left
-            yield batch()
-            seen.clear()
-    yield batch()
-
-
-def _update(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-    best, copies = None, 0
-    if state.exists:
-        doc, locator, copies = state.get
-        best = (doc, locator)
-    for frame in frames:
-        for doc, locator, n in zip(frame["id"], frame["locator"], frame["copies"], strict=True):
-            one = (None if pd.isna(doc) else int(doc), locator)
-            best, copies = one if best is None else _first(best, one), copies + int(n)
-    state.update((best[0], best[1], copies))
-    yield pd.DataFrame({"digest": [key[0]], "id": pd.array([best[0]], "Int64"), "locator": [best[1]], "copies": [copies]})
-
-
 def digest_classes(spark: SparkSession, path: str, id_col: str, text_col: str, files_per_batch: int, digest_hex: int) -> DataFrame:
-    """Run the stream over all files at ``path``; returns (digest, id, locator, copies), one row for each digest."""
-    before = spark.conf.get(_PROVIDER)
+    """Run the stream over all files at ``path``; returns (digest, id, locator, copies), one row for each digest.
+
+    The state is that of a streaming aggregation by digest, so a task's rows of one
+    text are folded before they reach it. Each micro-batch writes the states it changed.
+    """
+    parts = str(4 * spark.sparkContext.defaultParallelism)  # a store has a fixed cost, whatever it holds
+    settings = {_PROVIDER: _ROCKSDB, "spark.sql.streaming.internal.stateStore.partitions": parts}
+    before = {k: spark.conf.get(k, None) for k in settings}
     sink, log = work_dir(spark, "dedup-classes"), work_dir(spark, "dedup-log")
-    spark.conf.set(_PROVIDER, _ROCKSDB)
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
         schema = spark.read.parquet(path).schema
-        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(f"{path[:-1]}[{path[-1]}]")  # as a pattern, a single file will do too
+        # As a pattern, a single file will do for a folder.
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(f"{path[:-1]}[{path[-1]}]")
         located = _located(stream, id_col, text_col, digest_hex).select("digest", "id", "locator")
-        folded = located.mapInArrow(_folded, _OUT)
-        states = folded.groupBy("digest").applyInPandasWithState(_update, _OUT, _STATE, "append", "NoTimeout")
-        query = states.writeStream.outputMode("append").format("parquet").option("path", sink).option("checkpointLocation", log).trigger(availableNow=True).start()
+        # A null id comes last, so it is known by a smallest id that is null.
+        least = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "locator")).alias("least")
+        states = located.groupBy("digest").agg(least, F.count("*").alias("copies"))
+
+        def write(batch: DataFrame, number: int) -> None:
+            batch.select("digest", "least.id", "least.locator", "copies").write.mode("overwrite").parquet(f"{sink}/batch={number}")
+
+        query = states.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", log).trigger(availableNow=True).start()
         query.awaitTermination()
     finally:
-        spark.conf.set(_PROVIDER, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     # Each micro-batch that met a digest left a row; the one with most copies is the last.
-    rows = spark.read.schema(_OUT).parquet(sink)
+    rows = spark.read.schema(_OUT).option("recursiveFileLookup", "true").parquet(sink)
     return rows.groupBy("digest").agg(F.max_by(F.struct("id", "locator"), "copies").alias("x"), F.max("copies").alias("copies")).select("digest", "x.id", "x.locator", "copies")
 
 
@@ -101,12 +73,11 @@ def exact_dedup(spark: SparkSession, path: str, id_col: str = "doc_id", text_col
     read; an empty table gives no rows. ``digest_hex`` shortens the digest that the state
     is keyed by, which changes the work and not the result.
     """
-    small_batches(spark)
     classes = saved(digest_classes(spark, path, id_col, text_col, files_per_batch, digest_hex).where("copies > 1"), "dedup-states")
     docs = _located(spark.read.parquet(path), id_col, text_col, digest_hex)
     keep = classes.select("digest", F.col("id").alias("keep_id"), F.col("locator").alias("keep_locator"), "copies")
     # Texts travel on only where a digest was hit.
-    placed = docs.join(keep, "digest", "left").withColumn("text", F.when(F.col("copies").isNotNull(), F.col("text")))
+    placed = docs.join(keep.hint("merge"), "digest", "left").withColumn("text", F.when(F.col("copies").isNotNull(), F.col("text")))
     placed = saved(placed, "dedup-placed")
     alone = placed.where("copies IS NULL").select(F.col("id").alias("doc_id"), F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256")
 
