@@ -35,7 +35,7 @@ NULL_ID = -(1 << 63)
 #: Data files are closed beyond this size.
 FILE_BYTES = 256 << 20
 #: Pieces of text whose ids a worker remembers.
-CACHE = 300_000
+CACHE = 1_500_000
 _INDEX = "<qQQ"
 
 
@@ -58,14 +58,17 @@ def unframe(raw: bytes) -> bytes:
 
 
 class Encoder:
-    """Ids of whole texts, through a memory of the ids of their space-led pieces.
+    """Ids of whole texts, through a memory of the ids of their pieces.
 
-    Byte-level BPE never merges across the border of a non-space and a space, as its
-    splitter begins a new piece there at the latest; so a text's ids are those of its
-    pieces, put together. The library encodes each piece that isn't remembered.
+    The tokenizer's splitter begins a new word at the latest where a space follows
+    another character than white space, and where letters end; byte-level BPE merges
+    inside its words alone. So a text's ids are those of its pieces, put together. The
+    library encodes each piece that isn't remembered, many in one text with a newline
+    (a word of its own there) between.
     """
 
     _odd = re.compile(r"\s ")
+    _marks = ".,;:!?|"
 
     def __init__(self, path: str, width: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -75,6 +78,14 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.kind = "<u2" if width == 16 else "<u4"
         self.known: dict[str, bytes] = {}
+        (self.newline,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
+
+    @classmethod
+    def shared(cls, path: str, width: int) -> Encoder:
+        """The worker's own encoder, which keeps its memory from task to task."""
+        if (path, width) not in _encoders:
+            _encoders[path, width] = cls(path, width)
+        return _encoders[path, width]
 
     def pieces(self, text: str) -> list[str]:
         first, *rest = text.split(" ")
@@ -90,18 +101,50 @@ class Encoder:
             out = merged
         return out
 
+    def _learn(self, new: list[str]) -> None:
+        known = self.known
+        plain = [p for p in new if p and not any(map(str.isspace, p[1:])) and p[0] != "\n" and p != " "]
+        odd = list(set(new) - set(plain))
+        for i in range(0, len(plain), 2048):
+            part = plain[i : i + 2048]
+            ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(part)], add_special_tokens=False)[0].ids)
+            cuts = np.flatnonzero(ids == self.newline)
+            if len(cuts) != len(part) - 1:
+                odd += part
+                continue
+            raw, size = ids.astype(self.kind).tobytes(), int(self.kind[2])
+            for p, a, b in zip(part, [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)], strict=True):
+                known[p] = raw[a * size : b * size]
+        for i in range(0, len(odd), 1024):
+            part = odd[i : i + 1024]
+            for p, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
+                known[p] = np.array(e.ids, self.kind).tobytes()
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian ids of each text, without special ones."""
-        split = [self.pieces(t) for t in texts]
         known = self.known
         if len(known) > CACHE:
             known.clear()
-        new = list({p for s in split for p in s if p not in known})
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
-            for p, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                known[p] = np.array(e.ids, self.kind).tobytes()
-        return [b"".join([known[p] for p in s]) for s in split]
+        flat, ends = [], []
+        for t in texts:
+            flat += self.pieces(t)
+            ends.append(len(flat))
+        found = list(map(known.get, flat))
+        gaps = [k for k, x in enumerate(found) if x is None]
+        if gaps:
+            new = {flat[k] for k in gaps}
+            # Words that a mark ends share the ids of the word.
+            ended = {p: w for p in new if (w := p.rstrip(self._marks)) != p and w[-1:].isalpha()}
+            parts = {x for p, w in ended.items() for x in (w, p[len(w) :])} | (new - ended.keys())
+            self._learn([p for p in parts if p not in known])
+            for p, w in ended.items():
+                known[p] = known[w] + known[p[len(w) :]]
+            for k in gaps:
+                found[k] = known[flat[k]]
+        return [b"".join(found[a:b]) for a, b in zip([0, *ends], ends, strict=False)]
+
+
+_encoders: dict[tuple[str, int], Encoder] = {}
 
 
 def _written(folder: str, tokenizer: str, width: int, end_id: int):
@@ -109,7 +152,7 @@ def _written(folder: str, tokenizer: str, width: int, end_id: int):
         from pyspark import TaskContext
 
         fs, base = open_fs(folder)
-        encoder = Encoder(tokenizer, width)
+        encoder = Encoder.shared(tokenizer, width)
         end = np.array([end_id], encoder.kind).tobytes()
         shard, done = TaskContext.get().partitionId(), []
         data = index = path = None
