@@ -397,8 +397,9 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     mixed = saved(placed.join(mixed, "sig", "left_semi"), "mixed")
     # Signatures of one centre are looked at together, for their pairs are mostly the same;
     # a centre of many rows is split by signature. Each part gets its sets' maps once.
-    split = mixed.groupBy("centre").agg(F.ceil(F.count("*") / TOGETHER).alias("parts"))
-    members = saved(mixed.join(split, "centre").withColumn("part", F.pmod(F.xxhash64("sig"), "parts")).select("centre", "part", "sig", "id", "component"), "members")
+    # Centres to split are few: at most one for TOGETHER rows.
+    split = saved(mixed.groupBy("centre").agg(F.ceil(F.count("*") / TOGETHER).alias("parts")).where("parts > 1"), "split")
+    members = saved(mixed.join(split, "centre", "left").withColumn("part", F.pmod(F.xxhash64("sig"), F.coalesce("parts", F.lit(1)))).select("centre", "part", "sig", "id", "component"), "members")
     maps = members.select("centre", "part", "id").distinct().join(profile, "id").select("centre", "part", F.lit(None).cast("long").alias("sig"), "id", F.lit(None).cast("long").alias("component"), "n", "sketch")
     rows = members.select("*", F.lit(None).cast("long").alias("n"), F.lit(None).cast("binary").alias("sketch")).unionByName(maps)
     left = rows.repartition(parts, "centre", "part").sortWithinPartitions("centre", "part", F.col("sig").asc_nulls_first(), "id")

@@ -34,8 +34,8 @@ MASK_ROTATE, MASK_ADD = 15, 0xA282EAD8
 NULL_ID = -(1 << 63)
 #: Data files are closed beyond this size.
 FILE_BYTES = 256 << 20
-#: Pieces of text whose ids a worker remembers.
-CACHE = 1_500_000
+#: Pieces of text whose ids a worker remembers, at some 250 bytes a piece.
+CACHE = 500_000
 _INDEX = "<qQQ"
 
 
@@ -78,13 +78,15 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.kind = "<u2" if width == 16 else "<u4"
         self.known: dict[str, bytes] = {}
+        self.memory = CACHE
         (self.newline,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
 
     @classmethod
-    def shared(cls, path: str, width: int) -> Encoder:
+    def shared(cls, path: str, width: int, memory: int) -> Encoder:
         """The worker's own encoder, which keeps its memory from task to task."""
         if (path, width) not in _encoders:
             _encoders[path, width] = cls(path, width)
+        _encoders[path, width].memory = memory
         return _encoders[path, width]
 
     def pieces(self, text: str) -> list[str]:
@@ -123,7 +125,7 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian ids of each text, without special ones."""
         known = self.known
-        if len(known) > CACHE:
+        if len(known) > self.memory:
             known.clear()
         flat, ends = [], []
         for t in texts:
@@ -147,12 +149,12 @@ class Encoder:
 _encoders: dict[tuple[str, int], Encoder] = {}
 
 
-def _written(folder: str, tokenizer: str, width: int, end_id: int):
+def _written(folder: str, tokenizer: str, width: int, end_id: int, memory: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         fs, base = open_fs(folder)
-        encoder = Encoder.shared(tokenizer, width)
+        encoder = Encoder.shared(tokenizer, width, memory)
         end = np.array([end_id], encoder.kind).tobytes()
         shard, done = TaskContext.get().partitionId(), []
         data = index = path = None
@@ -189,12 +191,13 @@ def _written(folder: str, tokenizer: str, width: int, end_id: int):
     return run
 
 
-def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0, vocabulary: int = 50257) -> DataFrame:
+def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0, vocabulary: int = 50257, memory: int = CACHE) -> DataFrame:
     """Encode every whole text and write data and index files in ascending order of doc_id; returns the manifest.
 
     Manifest: path (of the data file; its index has ``.idx`` after it), shard, part,
     records, tokens, bytes, start (ids in all files before). ``end_id`` closes each
     document. Files of one shard, and shards, follow one another in order of doc_id.
+    ``memory`` bounds the pieces of text whose ids a worker remembers.
     Names are new in each attempt of a task and the manifest names only those that count.
 
     Null texts count as empty, null ids come first; documents of one id are ordered by
@@ -205,7 +208,7 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0,
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     order = (F.col("doc_id").asc_nulls_first(), F.xxhash64("text").asc())
     rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    files = saved(rows.mapInArrow(_written(folder, tokenizer, width, end_id), "path string, shard long, part long, records long, tokens long, bytes long"), "token-files")
+    files = saved(rows.mapInArrow(_written(folder, tokenizer, width, end_id, memory), "path string, shard long, part long, records long, tokens long, bytes long"), "token-files")
     before = Window.orderBy("shard", "part").rowsBetween(Window.unboundedPreceding, -1)  # one row a file
     return files.withColumn("start", F.coalesce(F.sum("tokens").over(before), F.lit(0)).cast("long"))
 
@@ -242,7 +245,7 @@ def read_records(manifest: DataFrame, folder: str) -> DataFrame:
     return rows.mapInArrow(_read(folder), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def round_trip(docs: DataFrame, tokenizer: str) -> DataFrame:
+def round_trip(docs: DataFrame, tokenizer: str, memory: int = CACHE) -> DataFrame:
     spark: SparkSession = docs.sparkSession
     folder = work_dir(spark, "tokens")
-    return read_records(write_records(docs, folder, tokenizer), folder)
+    return read_records(write_records(docs, folder, tokenizer, memory=memory), folder)
