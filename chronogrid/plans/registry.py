@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import grid_queries, sequence_queries
+from . import grid_queries, sequence_queries, track_queries
 
 FLAGSHIP = "gap_clusters"
-_ALL = sequence_queries.QUERIES | grid_queries.QUERIES
+_ALL = sequence_queries.QUERIES | grid_queries.QUERIES | track_queries.QUERIES
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
