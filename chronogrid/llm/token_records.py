@@ -67,7 +67,9 @@ class Encoder:
     (a word of its own there) between.
     """
 
+    #: A space after white space begins no piece of its own.
     _odd = re.compile(r"\s ")
+    _odd_ascii = tuple(c + " " for c in " \t\n\v\f\r\x1c\x1d\x1e\x1f")
     _marks = ".,;:!?|"
 
     def __init__(self, path: str, width: int):
@@ -78,6 +80,7 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.kind = "<u2" if width == 16 else "<u4"
         self.known: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
         self.memory = CACHE
         (self.newline,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
 
@@ -89,22 +92,28 @@ class Encoder:
         _encoders[path, width].memory = memory
         return _encoders[path, width]
 
-    def pieces(self, text: str) -> list[str]:
+    def pieces(self, text: str) -> tuple[str, list[str]]:
+        """The first piece, and the others, each without the space that leads it."""
         first, *rest = text.split(" ")
-        out = [" " + x for x in rest]
-        out.insert(0, first)
-        if self._odd.search(text) or not first:  # a space after white space, or at the start, begins no piece of its own
-            merged = out[:1]
-            for x in out[1:]:
-                if not merged[-1] or merged[-1][-1].isspace():
-                    merged[-1] += x
-                else:
-                    merged.append(x)
-            out = merged
-        return out
-
-    def _learn(self, new: list[str]) -> None:
-        known = self.known
+        odd = any(c in text for c in self._odd_ascii) if text.isascii() else self._odd.search(text)
+        if odd or not first:
+            return self._strict(text)
+        return first, rest
+
+    @staticmethod
+    def _strict(text: str) -> tuple[str, list[str]]:
+        """Pieces of a text with spaces at its start or after white space; these stay in the piece before."""
+        out = [""]
+        for k, x in enumerate(text.split(" ")):
+            if k and out[-1] and not out[-1][-1].isspace():
+                out.append(" " + x)
+            else:
+                out[-1] += " " + x if k else x
+        return out[0], [x[1:] for x in out[1:]]
+
+    def _ids(self, new: list[str]) -> dict[str, bytes]:
+        """Ids of pieces, with their spaces."""
+        out = {}
         plain = [p for p in new if p and not any(map(str.isspace, p[1:])) and p[0] != "\n" and p != " "]
         odd = list(set(new) - set(plain))
         for i in range(0, len(plain), 2048):
@@ -115,35 +124,49 @@ class Encoder:
                 odd += part
                 continue
             raw, size = ids.astype(self.kind).tobytes(), int(self.kind[2])
-            for p, a, b in zip(part, [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)], strict=True):
-                known[p] = raw[a * size : b * size]
+            starts, stops = [0, *((cuts + 1) * size).tolist()], [*(cuts * size).tolist(), len(raw)]
+            out.update(zip(part, map(raw.__getitem__, map(slice, starts, stops)), strict=True))
         for i in range(0, len(odd), 1024):
             part = odd[i : i + 1024]
             for p, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                known[p] = np.array(e.ids, self.kind).tobytes()
+                out[p] = np.array(e.ids, self.kind).tobytes()
+        return out
+
+    def _learn(self, new: set[str]) -> dict[str, bytes]:
+        """Ids of new pieces that a space leads, remembered while there is room: what is frequent is met early. Words that a mark ends share the ids of the word."""
+        known = self.known
+        store = known if len(known) < self.memory else {}
+        ended = {p: w for p in new if (w := p.rstrip(self._marks)) != p and w[-1:].isalpha()}
+        words = {w for w in ended.values() if w not in known} | (new - ended.keys())
+        tails = {p[len(w) :] for p, w in ended.items()} - self.tails.keys()
+        found = self._ids([" " + w for w in words] + list(tails))
+        for w in words:
+            store[w] = found[" " + w]
+        for t in tails:
+            self.tails[t] = found[t]
+        for p, w in ended.items():
+            store[p] = (store.get(w) or known[w]) + self.tails[p[len(w) :]]
+        return store
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian ids of each text, without special ones."""
         known = self.known
-        if len(known) > self.memory:
-            known.clear()
-        flat, ends = [], []
+        if len(self.tails) > self.memory:
+            self.tails.clear()
+        firsts, flat, ends = [], [], []
         for t in texts:
-            flat += self.pieces(t)
+            first, rest = self.pieces(t)
+            firsts.append(first)
+            flat += rest
             ends.append(len(flat))
         found = list(map(known.get, flat))
-        gaps = [k for k, x in enumerate(found) if x is None]
-        if gaps:
-            new = {flat[k] for k in gaps}
-            # Words that a mark ends share the ids of the word.
-            ended = {p: w for p in new if (w := p.rstrip(self._marks)) != p and w[-1:].isalpha()}
-            parts = {x for p, w in ended.items() for x in (w, p[len(w) :])} | (new - ended.keys())
-            self._learn([p for p in parts if p not in known])
-            for p, w in ended.items():
-                known[p] = known[w] + known[p[len(w) :]]
+        if None in found:
+            gaps = [k for k, x in enumerate(found) if x is None]
+            store = self._learn({flat[k] for k in gaps})
             for k in gaps:
-                found[k] = known[flat[k]]
-        return [b"".join(found[a:b]) for a, b in zip([0, *ends], ends, strict=False)]
+                found[k] = store[flat[k]]
+        start = self._ids(list(set(firsts)))
+        return [start[first] + b"".join(found[a:b]) for first, a, b in zip(firsts, [0, *ends], ends, strict=False)]
 
 
 _encoders: dict[tuple[str, int], Encoder] = {}
