@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.scalars import cents
 
@@ -11,49 +11,49 @@ DROP_CENTS, DECAY_MS, GESTURE_MS, SETTLED_CENTS = 25.0, 60.0, 100.0, 15.0
 ACTIONS = ("none", "flattened", "preserved", "ambiguous-flattened")
 
 
-def _median_body(df: DataFrame, keys, where) -> DataFrame:
-    return df.groupBy(*keys).agg(F.median(F.when(where & (F.col("pitch") > 0), F.col("pitch"))).alias("__ref"))
+def shaped(frames: DataFrame, keys, frame: str, pitch: str, hop_ms: float, threshold: float = DROP_CENTS, settled: float = SETTLED_CENTS) -> DataFrame:
+    """Frames with ``back`` (their place from the note's end), and of their note (keys): run, value, spread, action.
 
-
-def _run(df: DataFrame, keys, reference: DataFrame, threshold: float) -> DataFrame:
-    """(keys, run): frames at a note's end that lie below its reference; ``back`` counts them from the end."""
-    fell = F.coalesce(cents("pitch", "__ref") < -threshold, F.lit(False))
-    stop = F.min(F.when(~fell, F.col("back")))
-    return df.join(reference, keys).groupBy(*keys).agg(F.coalesce(stop - 1, F.max("back")).cast("long").alias("run"), F.max("__ref").alias("__ref"))
-
-
-def tails(frames: DataFrame, keys, frame: str, pitch: str, hop_ms: float, threshold: float = DROP_CENTS, settled: float = SETTLED_CENTS) -> DataFrame:
-    """Per note (keys): run, value (pitch held before the drop), spread (of the last three cents of the drop), action.
-
-    The drop is looked for twice: below the note's median, then below the median of
-    what the first search left. ``value`` is the median of the last five sounding frames
-    before the drop, or the note's where there are none. Four grouped passes over the
-    frames, partitioned alike, so the frames are shuffled once.
+    The closing drop is looked for twice: below the note's median, then below the median
+    of what the first search left. ``value`` is the median of the last five sounding
+    frames before the drop, or the note's where there are none; ``spread`` is that of the
+    last three cents of the drop. All are windows over one partitioning and one sort, so
+    the frames are shuffled once.
     """
-    w = Window.partitionBy(*keys).orderBy(F.col(frame).desc())
-    base = frames.select(*keys, frame, F.col(pitch).cast("double").alias("pitch")).withColumn("back", F.row_number().over(w))
-    first = _run(base, keys, _median_body(base, keys, F.lit(True)), threshold).withColumnRenamed("run", "__run").withColumnRenamed("__ref", "__all")
-    left = base.join(first, keys)
-    second_ref = _median_body(left, keys, F.col("back") > F.col("__run"))
-    second = _run(base, keys, second_ref, threshold)
-    notes = first.join(second, keys).select(*keys, "__all", F.when(F.col("__ref").isNull(), F.col("__run")).otherwise(F.col("run")).alias("run"))
-    notes = notes.withColumn("run", F.when(F.col("__all").isNull(), F.lit(0).cast("long")).otherwise(F.col("run")))
-    before = base.join(notes.select(*keys, "run"), keys).where("back > run AND pitch > 0")
-    last = before.withColumn("__n", F.row_number().over(w)).where("__n <= 5").groupBy(*keys).agg(F.median("pitch").alias("__held"))
-    valued = notes.join(last, keys, "left").withColumn("value", F.coalesce("__held", "__all", F.lit(0.0)))
-    drop = base.join(valued.select(*keys, "run", "value"), keys).where("back <= run AND back <= 3 AND run >= 3")
-    spread = drop.withColumn("__c", cents("pitch", "value")).groupBy(*keys).agg((F.max("__c") - F.min("__c")).alias("spread"))
+    note, by_end = Window.partitionBy(*keys), Window.partitionBy(*keys).orderBy(F.col(frame).desc())
+    sounds = F.col("__p") > 0
+
+    def median(where) -> Column:
+        return F.percentile(F.when(where & sounds, F.col("__p")), F.lit(0.5)).over(note)
+
+    def run_below(reference: str) -> Column:
+        fell = F.coalesce(cents("__p", reference) < -threshold, F.lit(False))
+        return F.coalesce(F.min(F.when(~fell, F.col("back"))).over(note) - 1, F.max("back").over(note)).cast("long")
+
+    df = frames.withColumn("__p", F.col(pitch).cast("double")).withColumn("back", F.row_number().over(by_end))
+    df = df.withColumn("__all", median(F.lit(True))).withColumn("__run", run_below("__all"))
+    df = df.withColumn("__left", median(F.col("back") > F.col("__run"))).withColumn("__again", run_below("__left"))
+    df = df.withColumn("run", F.when(F.col("__all").isNull(), 0).when(F.col("__left").isNull(), F.col("__run")).otherwise(F.col("__again")).cast("long"))
+    before = (F.col("back") > F.col("run")) & sounds
+    df = df.withColumn("__n", F.sum(before.cast("int")).over(by_end.rowsBetween(Window.unboundedPreceding, 0)))
+    df = df.withColumn("value", F.coalesce(median(before & (F.col("__n") <= 5)), "__all", F.lit(0.0)))
+    last = F.when((F.col("back") <= 3) & (F.col("run") >= 3), cents("__p", "value"))
+    df = df.withColumn("__c", last).withColumn("spread", F.max("__c").over(note) - F.min("__c").over(note))
     ms = F.col("run") * F.lit(hop_ms)
     action = F.when(ms <= 0, "none").when(ms < DECAY_MS, "flattened").when((ms >= GESTURE_MS) & F.coalesce(F.col("spread") < settled, F.lit(False)), "preserved").otherwise("ambiguous-flattened")
-    return valued.join(spread, keys, "left").select(*keys, "run", "value", "spread", action.alias("action"))
+    return df.withColumn("action", action).drop("__p", "__all", "__run", "__left", "__again", "__n", "__c")
+
+
+def tails(frames: DataFrame, keys, frame: str, pitch: str, hop_ms: float, threshold: float = DROP_CENTS, settled: float = SETTLED_CENTS) -> DataFrame:
+    """Per note (keys): run, value, spread, action of its closing drop, as ``shaped`` finds them."""
+    return shaped(frames, keys, frame, pitch, hop_ms, threshold, settled).where("back = 1").select(*keys, "run", "value", "spread", "action")
 
 
-def flatten(frames: DataFrame, notes: DataFrame, keys, frame: str, pitch: str) -> DataFrame:
+def flatten(frames: DataFrame, keys, frame: str, pitch: str, hop_ms: float, threshold: float = DROP_CENTS, settled: float = SETTLED_CENTS) -> DataFrame:
     """Frames with the drops of flattened notes held at the note's value; voicing is not touched."""
-    w = Window.partitionBy(*keys).orderBy(F.col(frame).desc())
-    held = notes.where("action IN ('flattened', 'ambiguous-flattened')").select(*keys, F.col("run").alias("__run"), F.col("value").alias("__value"))
-    joined = frames.withColumn("__back", F.row_number().over(w)).join(held, keys, "left")
-    return joined.withColumn(pitch, F.when(F.col("__back") <= F.col("__run"), F.col("__value")).otherwise(F.col(pitch).cast("double"))).drop("__back", "__run", "__value")
+    out = shaped(frames, keys, frame, pitch, hop_ms, threshold, settled)
+    drops = F.col("action").isin("flattened", "ambiguous-flattened") & (F.col("back") <= F.col("run"))
+    return out.withColumn(pitch, F.when(drops, F.col("value")).otherwise(F.col(pitch).cast("double"))).select(*frames.columns)
 
 
 def overhangs(frames: DataFrame, keys, frame: str, pitch: str, divider: int = 5, threshold: float = 15.0) -> DataFrame:
@@ -61,14 +61,13 @@ def overhangs(frames: DataFrame, keys, frame: str, pitch: str, divider: int = 5,
 
     The closing part is addressed from the note's first frame on, so a gap in the frames
     moves it. Notes shorter than ``divider`` frames, or with a body that does not sound,
-    keep all.
+    keep all. One shuffle.
     """
-    n = frames.groupBy(*keys).agg(F.count("*").alias("__n"), F.min(frame).alias("__first"))
-    marked = frames.join(n, keys).withColumn("__tail", F.col("__first") + F.col("__n") - F.floor(F.col("__n") / divider))
-    body = F.avg(F.when((F.col(frame) < F.col("__tail")) & (F.col(pitch) > 0), F.col(pitch)))
-    bodies = marked.groupBy(*keys).agg(body.alias("__body"))
+    note = Window.partitionBy(*keys)
+    df = frames.withColumn("__n", F.count("*").over(note)).withColumn("__tail", F.min(frame).over(note) + F.col("__n") - F.floor(F.col("__n") / divider))
+    df = df.withColumn("__body", F.avg(F.when((F.col(frame) < F.col("__tail")) & (F.col(pitch) > 0), F.col(pitch))).over(note))
     off = (F.col("__n") >= divider) & (F.col(frame) >= F.col("__tail")) & (F.abs(cents(pitch, "__body")) > threshold)
-    return marked.join(bodies, keys).withColumn("silent", F.coalesce(off, F.lit(False))).drop("__n", "__first", "__tail", "__body")
+    return df.withColumn("silent", F.coalesce(off, F.lit(False))).drop("__n", "__tail", "__body")
 
 
 def note_ends(frames: DataFrame, keys, frame: str = "frame", voiced: str = "voiced", onset: str = "onset") -> DataFrame:

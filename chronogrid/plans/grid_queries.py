@@ -137,9 +137,7 @@ def tail_classify(spark, d):
 
 
 def tail_flatten(spark, d):
-    c = _contours(spark, d)
-    t = N.tails(c, ["l_orderkey"], "frame", "pitch", 30.0)
-    f = N.flatten(c, t, ["l_orderkey"], "frame", "pitch")
+    f = N.flatten(_contours(spark, d), ["l_orderkey"], "frame", "pitch", 30.0)
     return f.select("l_orderkey", "frame", F.round("pitch", 6).alias("pitch"))
 
 

@@ -35,7 +35,7 @@ def test_tails(spark, pitches, action, last):
     frames = contour(spark, pitches)
     notes = N.tails(frames, ["note"], "frame", "pitch", HOP_MS)
     assert notes.collect()[0].action == action
-    assert N.flatten(frames, notes, ["note"], "frame", "pitch").orderBy(F.desc("frame")).first().pitch == pytest.approx(last)
+    assert N.flatten(frames, ["note"], "frame", "pitch", HOP_MS).orderBy(F.desc("frame")).first().pitch == pytest.approx(last)
 
 
 @pytest.mark.parametrize(("tail", "silent"), [(2 ** (120 / 1200), 4), (2 ** (5 / 1200), 0), (2 ** (200 / 1200), 4)])
