@@ -81,8 +81,10 @@ class Encoder:
         self.kind = "<u2" if width == 16 else "<u4"
         self.known: dict[str, bytes] = {}
         self.tails: dict[str, bytes] = {}
+        self.starts: dict[str, bytes] = {}
         self.memory = CACHE
         (self.newline,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.break_ = np.array([self.newline], self.kind).tobytes()
 
     @classmethod
     def shared(cls, path: str, width: int, memory: int) -> Encoder:
@@ -133,11 +135,17 @@ class Encoder:
         return out
 
     def _learn(self, new: set[str]) -> dict[str, bytes]:
-        """Ids of new pieces that a space leads, remembered while there is room: what is frequent is met early. Words that a mark ends share the ids of the word."""
+        """Ids of new pieces that a space leads, remembered while there is room: what is frequent is met early.
+
+        Words that a mark ends share the ids of the word. A newline between two words is
+        a word of its own, so such a piece is put together from three.
+        """
         known = self.known
         store = known if len(known) < self.memory else {}
-        ended = {p: w for p in new if (w := p.rstrip(self._marks)) != p and w[-1:].isalpha()}
-        words = {w for w in ended.values() if w not in known} | (new - ended.keys())
+        lines = {p: x for p in new if "\n" in p and len(x := p.split("\n")) == 2 and all(x) and len(p.split()) == 2 and not any(map(str.isspace, x[0] + x[1]))}
+        plain = (new - lines.keys()) | {a for a, _ in lines.values() if a not in known}
+        ended = {p: w for p in plain if (w := p.rstrip(self._marks)) != p and w[-1:].isalpha()}
+        words = {w for w in ended.values() if w not in known} | (plain - ended.keys())
         tails = {p[len(w) :] for p, w in ended.items()} - self.tails.keys()
         found = self._ids([" " + w for w in words] + list(tails))
         for w in words:
@@ -146,8 +154,19 @@ class Encoder:
             self.tails[t] = found[t]
         for p, w in ended.items():
             store[p] = (store.get(w) or known[w]) + self.tails[p[len(w) :]]
+        if lines:
+            start = self._started({b for _, b in lines.values()})
+            for p, (a, b) in lines.items():
+                store[p] = (store.get(a) or known[a]) + self.break_ + start[b]
         return store
 
+    def _started(self, new: set[str]) -> dict[str, bytes]:
+        """Ids of pieces that no space leads."""
+        if len(self.starts) > self.memory // 4:
+            self.starts.clear()
+        self.starts.update(self._ids(list(new - self.starts.keys())))
+        return self.starts
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian ids of each text, without special ones."""
         known = self.known
@@ -165,7 +184,7 @@ class Encoder:
             store = self._learn({flat[k] for k in gaps})
             for k in gaps:
                 found[k] = store[flat[k]]
-        start = self._ids(list(set(firsts)))
+        start = self._started(set(firsts))
         return [start[first] + b"".join(found[a:b]) for first, a, b in zip(firsts, [0, *ends], ends, strict=False)]
 
 
