@@ -56,7 +56,7 @@ def write_frames(frames: DataFrame, path: str) -> None:
     frames.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dataset").parquet(path)
 
 
-def resolved(value, prefix: str = "GOAT/") -> Column:
+def resolved(value, prefix: str) -> Column:
     """A path of a catalogue without its prefix; null if blank."""
     v = F.col(value) if isinstance(value, str) else value
     return F.regexp_replace(F.nullif(F.trim(v), F.lit("")), f"^{prefix}", "")

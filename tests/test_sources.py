@@ -123,8 +123,8 @@ def test_catalogues(spark, tmp_path):
     assert sorted((r.dataset, r.split, r.place, r.stem) for r in lists.collect()) == [("set", "train", 0, "b"), ("set", "train", 1, "a")]
     B.write_splits(lists, str(tmp_path / "s"))
     assert spark.read.json(str(tmp_path / "s")).collect()[0].stems == ["a", "b"]
-    paths = spark.createDataFrame([("GOAT/item/x.gp5",), ("  ",), (None,), ("y",)], "p string")
-    assert [r[0] for r in paths.select(B.resolved("p")).collect()] == ["item/x.gp5", None, None, "y"]
+    paths = spark.createDataFrame([("SET/item/x.gp5",), ("  ",), (None,), ("y",)], "p string")
+    assert [r[0] for r in paths.select(B.resolved("p", "SET/")).collect()] == ["item/x.gp5", None, None, "y"]
     found = spark.createDataFrame([("/a/t1.wav", "t1"), ("/b/t1.mid", "t1"), ("/a/t2.wav", "t2"), ("/a/t3.wav", "t3"), ("/b/t3.mid", "t3")], "path string, stem string")
     assert [r.stem for r in B.takes(found, ["t3"]).collect()] == ["t1"]
 
