@@ -14,8 +14,8 @@ the landmarks, times the inverse root of the landmarks' kernel matrix. A linear
 support vector machine in that space is trained on labelled sentences as bags: a sentence
 of a toxic text counts by its highest unit, and the units that speak for a bag are chosen
 anew in each round, as are the clean units that come nearest to them. Spoken units with a
-letter inserted are trained on as well. A logistic curve turns a text's highest margin
-into a score.
+letter inserted are trained on as well. A logistic curve turns a text's three highest
+margins and its number of units into a score.
 
 Scoring. The margin of a unit is linear in its subsequence weights, so landmarks and
 weights fold to one table of weights by subsequence, and a unit costs its subsequences
@@ -29,6 +29,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from heapq import nlargest
 
 import numpy as np
 import pandas as pd
@@ -116,13 +117,12 @@ def units_of(text: str) -> list[str]:
 
 @dataclass
 class Model:
-    """Weights by subsequence, the margin's offset, and the logistic curve of the score."""
+    """Weights by subsequence, the margin's offset, and the logistic curve of the score over a text's evidence."""
 
     table: np.ndarray
     bias: float
-    slope: float
-    offset: float
-    floor: float  # margin of a text without units
+    curve: np.ndarray  # weights of the evidence and, last, an offset
+    floor: float  # margin where there is no unit
 
     def margins(self, units: list[str]) -> np.ndarray:
         codes, own, lengths = coded(units)
@@ -131,8 +131,18 @@ class Model:
             total += weight * np.bincount(unit, self.table[number], len(units))
         return total / norms(lengths) + self.bias
 
-    def score(self, margin: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.offset, -35, 35)))
+    def evidence(self, margins: list[float]) -> list[float]:
+        """A text's three highest margins, and how many units it has."""
+        top = nlargest(3, margins)
+        return [*(max(m, self.floor) for m in top), *[self.floor] * (3 - len(top)), float(np.log1p(len(margins)))]
+
+    def score(self, evidence: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(evidence @ self.curve[:-1] + self.curve[-1], -35, 35)))
+
+
+def _flat(share: float) -> Model:
+    """A model by which every text has one score."""
+    return Model(np.zeros(_NUMBERS, np.float32), 0.0, np.array([0.0] * 4 + [float(np.log(share / (1 - share)))]), 0.0)
 
 
 def _features(units: list[str], landmarks: list[str]) -> np.ndarray:
@@ -182,18 +192,18 @@ def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1e-4
     return w[:-1], float(w[-1])
 
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of a logistic curve, targets drawn in by one text a class, by Newton steps."""
+def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Weights and, last, the offset of a logistic curve, targets drawn in by one text a class, by damped Newton steps."""
     positive, negative = float((y == 1).sum()), float((y == 0).sum())
     t = np.where(y == 1, (positive + 1) / (positive + 2), 1 / (negative + 2))
-    weight = np.full(len(x), 1 / len(x))
-    a = np.zeros(2)
-    design = np.stack([x, np.ones_like(x)], axis=1)
-    for _ in range(50):
+    design = np.hstack([x, np.ones((len(x), 1))])
+    ridge = np.append(np.full(x.shape[1], 1e-4), 1e-6)
+    a = np.zeros(design.shape[1])
+    for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(design @ a, -35, 35)))
-        h = (design * (weight * p * (1 - p))[:, None]).T @ design + 1e-6 * np.eye(2)
-        a = a + np.clip(np.linalg.solve(h, (design * (weight * (t - p))[:, None]).sum(axis=0) - 1e-6 * a), -5, 5)
-    return float(a[0]), float(a[1])
+        h = (design * (p * (1 - p) / len(x))[:, None]).T @ design + np.diag(ridge)
+        a = a + np.clip(np.linalg.solve(h, design.T @ (t - p) / len(x) - ridge * a), -4, 4)
+    return a
 
 
 def _grams(unit: str) -> set[str]:
@@ -211,7 +221,7 @@ def train(texts: list[str], labels: list[int]) -> Model:
     y = np.array(labels)
     if len(set(labels)) < 2:
         share = (int((y == 1).sum()) + 1) / (len(y) + 2)
-        return Model(np.zeros(_NUMBERS, np.float32), 0.0, 0.0, float(np.log(share / (1 - share))), 0.0)
+        return _flat(share)
     rng = np.random.Generator(np.random.PCG64(11))
     plain = lambda u: "".join(c for c in u[:64] if c.isalnum() or c in STANDS_FOR)
     bags = [[sorted({plain(u) for u in units_of(s)} - {""}) for s in SENTENCE.split(t or "")] for t in texts]
@@ -279,7 +289,7 @@ def train(texts: list[str], labels: list[int]) -> Model:
         scaled = root @ coefficient / norms(lengths)
         for unit, number, weight in subsequences(codes, own):
             np.add.at(table, number, weight * scaled[unit])
-        model = Model(table.astype(np.float32), bias, 1.0, 0.0, bias)
+        model = Model(table.astype(np.float32), bias, np.array([1.0, 0, 0, 0, 0]), bias)
         mine = sorted(units_in[1])
         margin = {u: m + 1 for u, m in zip(mine, model.margins(mine).tolist(), strict=True) if first[u] > 0 or m > 0}
         # The clean units that come nearest the other side are held against it in the next round.
@@ -288,14 +298,16 @@ def train(texts: list[str], labels: list[int]) -> Model:
         base = list(dict.fromkeys(base + [clean[i] for i in worst if hard[i] > -0.9]))
     if model is None:
         share = (n[1] + 1) / (len(y) + 2)
-        return Model(np.zeros(_NUMBERS, np.float32), 0.0, 0.0, float(np.log(share / (1 - share))), 0.0)
-    top = np.array([max(model.margins(u).max(), bias) if (u := [x for s in bag for x in s]) else bias for bag in bags])
-    model.slope, model.offset = _logistic(top, y)
+        return _flat(share)
+    texts_units = [units_of(t or "") for t in texts]
+    every = sorted({u for us in texts_units for u in us})
+    known_margin = dict(zip(every, model.margins(every).tolist(), strict=True)) if every else {}
+    model.curve = _logistic(np.array([model.evidence([known_margin[u] for u in us]) for us in texts_units]), y)
     return model
 
 
-def _highest(model: Model, known: dict[str, float], texts: list[str | None]) -> np.ndarray:
-    """Each text's highest margin; ``known`` remembers those of units."""
+def _evidence(model: Model, known: dict[str, float], texts: list[str | None]) -> np.ndarray:
+    """Each text's evidence; ``known`` remembers the margins of units."""
     top = []
     for a in range(0, len(texts), 64):
         units = [units_of(t or "") for t in texts[a : a + 64]]
@@ -305,15 +317,15 @@ def _highest(model: Model, known: dict[str, float], texts: list[str | None]) ->
         for i in range(0, len(new), 8192):
             part = new[i : i + 8192]
             known.update(zip(part, model.margins(part).tolist(), strict=True))
-        top += [max(max(map(known.__getitem__, us)), model.floor) if us else model.floor for us in units]
-    return np.array(top, float)
+        top += [model.evidence(list(map(known.__getitem__, us))) for us in units]
+    return np.array(top, float).reshape(-1, 4)
 
 
 def _scored(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, float] = {}
         for batch in batches:
-            top = _highest(model, known, batch.column(1).to_pylist())
+            top = _evidence(model, known, batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.score(top), pa.float64())], ["doc_id", "score"])
 
     return run
@@ -363,6 +375,6 @@ def accepted(docs: DataFrame, model: Model) -> DataFrame:
     known: dict[str, float] = {}
 
     def clean(text: pd.Series) -> pd.Series:
-        return pd.Series(model.score(_highest(model, known, list(text))) < 0.5, dtype=bool)
+        return pd.Series(model.score(_evidence(model, known, list(text))) < 0.5, dtype=bool)
 
     return docs.where(F.pandas_udf(clean, "boolean")(F.col("text").cast("string")))
