@@ -108,7 +108,8 @@ def without_templates(docs: DataFrame, depth: int = DEPTH, recurs: int = RECURS,
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("key", F.xxhash64("doc_id", "text"))
     lines, dropped = templates(base.select("key", "text"), depth, recurs, constant)
     gone = lines.join(dropped.select("leaf", "line").distinct(), ["leaf", "line"], "left_semi").select("key", "number").distinct().groupBy("key").agg(F.collect_list("number").alias("gone"))
-    joined = base.join(saved(gone, "dropped-lines"), "key", "left")
+    # One plan at every size: what is dropped grows with the input and is not broadcast.
+    joined = base.join(saved(gone, "dropped-lines").hint("merge"), "key", "left")
     n = F.when(F.col("text").isNull(), 0).otherwise(F.regexp_count("text", F.lit("\n")) + 1)
     lost = F.coalesce(F.size("gone"), F.lit(0))
     return joined.select("doc_id", F.pandas_udf(_without, "string")("text", "gone").alias("text"), n.cast("long").alias("n_lines"), F.when(F.col("gone").isNull(), 0).otherwise(lost).cast("long").alias("n_dropped"))
