@@ -40,8 +40,10 @@ from .common import saved, small_batches
 
 #: Kernel: span decay and largest span of four characters.
 DECAY, WINDOW = 0.7, 7
-#: Bounds of training: labelled texts of each class, characters of them, landmarks, other units.
+#: Bounds of training: labelled texts of each class, characters of them, landmarks, other units;
+#: characters of a unit that is trained on. Scoring has no bounds.
 MOST_TEXTS, MOST_CHARS, LANDMARKS, OTHERS = 1500, 8_000_000, 160, 8_000
+MOST_UNIT = 64
 ROUNDS, GRAMS = 4, (5, 7, 9)
 CACHE = 300_000
 #: Fixed folding of characters that stand for letters.
@@ -223,8 +225,8 @@ def train(texts: list[str], labels: list[int]) -> Model:
         share = (int((y == 1).sum()) + 1) / (len(y) + 2)
         return _flat(share)
     rng = np.random.Generator(np.random.PCG64(11))
-    plain = lambda u: "".join(c for c in u[:64] if c.isalnum() or c in STANDS_FOR)
-    bags = [[sorted({plain(u) for u in units_of(s)} - {""}) for s in SENTENCE.split(t or "")] for t in texts]
+    plain = lambda u: "".join(c for c in u if c.isalnum() or c in STANDS_FOR)
+    bags = [[sorted({plain(u) for u in units_of(s) if len(u) <= MOST_UNIT} - {""}) for s in SENTENCE.split(t or "")] for t in texts]
     n = {k: int((y == k).sum()) for k in (0, 1)}
     # How often a piece of a unit is met in toxic and in other texts says where to look first.
     grams = {0: Counter(), 1: Counter()}
@@ -337,7 +339,7 @@ def held_out(doc_id) -> F.Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """Train on a bounded sample of labelled texts: at most MOST_TEXTS of each class, in order of a hash of the id, and MOST_CHARS in all.
+    """Train on a bounded sample of labelled texts: at most MOST_TEXTS of each class, in order of a hash of the id, and MOST_CHARS in all (a text longer than that is not in the sample).
 
     Rows of the held-out fold, null ids and null labels are not used.
     """
@@ -346,9 +348,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     chosen = saved(pool.where("toxic = 1").orderBy(*order).limit(MOST_TEXTS).unionByName(pool.where("toxic = 0").orderBy(*order).limit(MOST_TEXTS)), "toxic-sample")
     # The sample is at most 2 x MOST_TEXTS ids, so it may be broadcast.
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
-    texts = texts.withColumn("n", F.length("text")).orderBy(*order)
+    texts = texts.where(F.length("text") <= MOST_CHARS).orderBy(*order)
     rows, chars = [], 0
-    for r in texts.limit(2 * MOST_TEXTS).select("doc_id", "toxic", F.substring("text", 1, MOST_CHARS).alias("text")).toLocalIterator():
+    for r in texts.limit(2 * MOST_TEXTS).select("toxic", "text").toLocalIterator():
         chars += len(r["text"])
         if chars > MOST_CHARS and rows:
             break
