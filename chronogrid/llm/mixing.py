@@ -10,6 +10,7 @@ block numbers for each source and pass, and slots meet blocks in a join by numbe
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,8 +26,6 @@ BLOCK = 128
 SHARD_SLOTS, SHARDS = 4096, 4096
 #: Weights of the sources, repeated, and the mix's share of all words; no source beyond CAP times its size.
 WEIGHTS, SHARE, CAP = (3, 1, 2), 1.5, 2.0
-#: Documents to a group of the running sums.
-CHUNK = 20_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -134,7 +133,8 @@ class Mix:
 
         # Two-level running sums: a source may own most documents, so its rows are dealt
         # to groups by a hash and only the groups' totals meet in one place.
-        groups = max(1, -(-sum(int(r["n"]) for r in sums) // CHUNK))
+        # With as many groups as a group has documents, neither level grows beyond the root.
+        groups = max(1, math.isqrt(sum(int(r["n"]) for r in sums)))
         dealt = sized.join(F.broadcast(self.sources.select("source", "source_no")), sized["source"].eqNullSafe(self.sources["source"])).drop(self.sources["source"]).withColumn("part", F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(groups)))
         totals = dealt.groupBy("source_no", "part").agg(F.sum("size").alias("words"))
         before = Window.partitionBy("source_no").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
