@@ -28,7 +28,7 @@ from .shingles import shingle_sets
 #: Fewest bits of the map by which far pairs are told apart before their sets are compared.
 SKETCH = 256
 #: Signatures' rows that are looked at together; a centre with more is split.
-TOGETHER = 50_000
+TOGETHER = 20_000
 #: Below this size one-deletion neighbourhoods are no proof, and single shingles are emitted.
 SMALL = 64
 _SALTS = mix64(np.arange(1, 9, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
