@@ -35,7 +35,7 @@ NULL_ID = -(1 << 63)
 #: Data files are closed beyond this size.
 FILE_BYTES = 256 << 20
 #: Pieces of text whose ids a worker remembers, at some 250 bytes a piece.
-CACHE = 500_000
+CACHE = 300_000
 _INDEX = "<qQQ"
 
 

@@ -45,7 +45,7 @@ DECAY, WINDOW = 0.7, 7
 MOST_TEXTS, MOST_CHARS, LANDMARKS, OTHERS = 1500, 8_000_000, 160, 8_000
 MOST_UNIT = 64
 ROUNDS, GRAMS = 4, (5, 7, 9)
-CACHE = 300_000
+CACHE = 200_000
 #: Fixed folding of characters that stand for letters.
 STANDS_FOR = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"}
 SENTENCE = re.compile(r"(?<=[.!?])\s+|\n")
