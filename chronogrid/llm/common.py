@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -37,12 +36,6 @@ def work_dir(spark: SparkSession, tag: str) -> str:
     return path
 
 
-def drop_dir(spark: SparkSession, path: str) -> None:
-    """Delete a work folder that nothing reads any more."""
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
-
-
 def saved(df: DataFrame, tag: str) -> DataFrame:
     """``df`` written to shared storage and read again: cuts lineage, survives lost executors."""
     spark, key = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -64,20 +57,6 @@ def open_fs(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
-def write_atomically(filesystem, folder: str, name: str, write) -> None:
-    """Call ``write(stream)`` on a hidden file, then move it to its name.
-
-    A task that is run again replaces its file by the same bytes; a lost task leaves
-    only a hidden file that readers skip.
-    """
-    if type(filesystem).__name__ == "LocalFileSystem":
-        os.makedirs(folder, exist_ok=True)
-    hidden = f"{folder}/_{name}.{uuid.uuid4().hex}"
-    with filesystem.open_output_stream(hidden) as stream:
-        write(stream)
-    filesystem.move(hidden, f"{folder}/{name}")
-
-
 def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, offsets) of runs of rows of a string column; null counts as empty.
 
