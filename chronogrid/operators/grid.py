@@ -36,13 +36,6 @@ def rasterise(notes: DataFrame, keys, order, value: str, onset: Column | None =
     return frames.groupBy(*keys, "frame").agg(later.alias("__w"), starts.alias("onset")).select(*keys, "frame", F.col("__w.__value").alias(value), "onset")
 
 
-def bracketed(points: DataFrame, keys, order, x: str, y: str) -> DataFrame:
-    """Consecutive points as brackets: keys, x0, y0, x1, y1. The last point has no bracket."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    out = points.select(*keys, F.col(x).alias("x0"), F.col(y).alias("y0"), F.lead(x).over(w).alias("x1"), F.lead(y).over(w).alias("y1"))
-    return out.where("x1 IS NOT NULL")
-
-
 def resample(points: DataFrame, keys, order, time: str, value: str, hop: float, log: bool = True) -> DataFrame:
     """(keys, frame, value): points read at whole multiples of ``hop``, from half a hop before the first to half a hop after the last.
 

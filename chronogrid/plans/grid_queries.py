@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions import scalars as X
 from ..operators import grid as G, joins as J, notes as N, sequences as S
-from .sequence_queries import EV, HOUR, events, table
+from .sequence_queries import EV, events, table
 
 
 def _notes(spark, d) -> DataFrame:
@@ -20,13 +19,13 @@ HOP, FRAMES = 1800.0, 1500
 
 
 def _raster(spark, d, variant, lead):
-    n = N_shift(_notes(spark, d), lead)
+    n = _earlier(_notes(spark, d), lead)
     n = G.note_frames(n, "s0", "s1", HOP, FRAMES, variant)
     r = G.rasterise(n, ["user_id"], ["event_id"], "midi", F.col("event_type") != "error")
     return r.groupBy("user_id").agg(F.count("*").alias("frames"), F.sum(F.col("midi") * F.col("frame")).alias("weighted"), F.count_if(F.col("onset")).alias("onsets"))
 
 
-def N_shift(notes, lead):
+def _earlier(notes, lead):
     return notes.withColumn("s0", F.col("s0") - lead).withColumn("s1", F.col("s1") - lead)
 
 
@@ -64,8 +63,6 @@ def interp_clamped(spark, d):
 def _frames(spark, d) -> DataFrame:
     """Events as frames of strings: string = event type, frame = place among the user's events."""
     e = events(spark, d)
-    from pyspark.sql import Window
-
     w = Window.partitionBy("user_id").orderBy("t", "event_id")
     return e.withColumn("frame", (F.row_number().over(w) - 1).cast("long")).withColumn("voiced", F.col("value") > 150).withColumn("onset", (F.col("value") > 150) & (F.col("event_id") % 3 == 0))
 

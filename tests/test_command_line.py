@@ -5,7 +5,7 @@ import pytest
 
 from chronogrid import __main__ as cli
 from chronogrid.operators import notes as N
-from chronogrid.plans import reports
+from chronogrid.plans import recipes, reports
 from tests.test_kernels import HOP, RATE, scene
 from tests.test_sources import smf
 
@@ -65,3 +65,12 @@ def test_alignment_is_recorded_and_not_repeated(spark, tmp_path):
 def test_action_counts_name_every_action(spark):
     rows = reports.action_counts(spark.createDataFrame([("flattened",), ("flattened",)], "action string")).collect()
     assert {r.action: r.n for r in rows} == dict.fromkeys(N.ACTIONS, 0) | {"flattened": 2}
+
+
+def test_summaries(spark):
+    moved = reports.moves_summary(spark.createDataFrame([("a", -3), ("b", -3), ("c", 0), ("d", -3)], "stem string, by long"))
+    assert {r.by: (r.n, r.share) for r in moved.collect()} == {-3: (3, 0.75), 0: (1, 0.25)}
+    status = reports.status_summary(spark.createDataFrame([("precise",), ("kept",)], "status string"))
+    assert {r.status: r.n for r in status.collect()} == {"precise": 1, "kept": 1}
+    low = recipes.implausible(spark.createDataFrame([(0, 39), (0, 40), (5, 63), (5, 64)], "string int, pitch int"), {0: 40, 5: 64})
+    assert sorted(map(tuple, low.collect())) == [(0, 39), (5, 63)]

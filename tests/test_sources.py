@@ -75,6 +75,7 @@ def test_musicxml(spark):
     want = first + [(m + 2, *rest) for m, *rest in first]
     assert [r[1:] for r in X.musicxml_notes(SCORE)] == want
     assert X.musicxml_tuning(SCORE) == [(1, 64), (6, 38)] and X.musicxml_measures(SCORE) == [(2, 4)]
+    assert [tuple(r)[2:] for r in X.read_measure_counts(as_files(spark, a=SCORE)).collect()] == [(2, 4)]
     assert X.read_musicxml(as_files(spark, a=SCORE, b=b"<x", c=b"<score-partwise/>")).where("reason IS NOT NULL").count() == 2
 
 
@@ -174,5 +175,7 @@ def test_streaming_windows(spark, tmp_path):
     for name, df in (("tumbling", W.tumbling(stream, "ts", "10 minutes", "1 hour", ["user"])), ("clusters", W.clusters(stream, "ts", "5 minutes", "1 hour", ["user"]))):
         q = df.writeStream.outputMode("complete" if name == "tumbling" else "append").format("memory").queryName(name).option("checkpointLocation", str(tmp_path / name)).trigger(availableNow=True).start()
         q.awaitTermination()
+    sounding = W.any_sounding(stream.withColumn("voiced", F.col("value") > 50), "ts", "1 hour", ["user"])
+    assert sounding.isStreaming and sounding.columns == ["user", "any_voiced"]
     assert spark.table("tumbling").agg(F.sum("n")).first()[0] == 100
     assert sorted((r.user, r.n) for r in spark.table("clusters").collect()) in ([(0, 25), (1, 25)], [(0, 25), (0, 25), (1, 25), (1, 25)])
