@@ -29,7 +29,9 @@ from .shingles import shingle_sets
 SKETCH = 256
 #: Signatures' rows that are looked at together; a centre with more is split.
 TOGETHER = 20_000
-#: Below this size one-deletion neighbourhoods are no proof, and single shingles are emitted.
+#: Two sets with too many empty segments still agree within one deletion somewhere as long as
+#: their empty segments are under m - H / 2 on average. From this size on, hashing breaks that
+#: with a chance under 1e-12; the schemes below emit single shingles in place of neighbourhoods.
 SMALL = 64
 _SALTS = mix64(np.arange(1, 9, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -62,7 +64,7 @@ def segments(low: int, high: int, top: int, num: int, den: int) -> int:
     return best[1]
 
 
-def _emit(h: np.ndarray, doc: np.ndarray, n: np.ndarray, m: np.ndarray, need: np.ndarray, salt: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _emit(h: np.ndarray, doc: np.ndarray, n: np.ndarray, m: np.ndarray, need: np.ndarray, salt: np.ndarray, small: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Signatures of sets under one scheme. h: hashes sorted within doc; the rest by document."""
     segment = ((h >> np.uint64(32)) * m[doc] >> np.uint64(32)).astype(np.uint64)
     fresh = np.ones(len(h), bool)
@@ -74,7 +76,7 @@ def _emit(h: np.ndarray, doc: np.ndarray, n: np.ndarray, m: np.ndarray, need: np
     out, owner = [mix64(total ^ tag)], [own]
     short = np.bincount(own, minlength=len(n)) < need
     if short.any():
-        tiny = short & (n < SMALL)
+        tiny = short & small
         which = tiny[doc]
         out.append(mix64(value[which] + mix64(salt[doc[which]] ^ _SALTS[2])))
         owner.append(doc[which])
@@ -109,7 +111,8 @@ def signatures(h: np.ndarray, bounds: np.ndarray, num: int, den: int) -> tuple[n
             need[here] = _most(n[here], highest(int(b), n[here]), num, den) + 1
         take = which[doc]
         salt = mix64(border.astype(np.uint64) * _SALTS[4] + _SALTS[5 + kind])
-        found.append(_emit(h[take], doc[take], np.where(which, n, 0), m, need, salt))
+        small = border <= SMALL if kind else border < SMALL  # of a whole scheme, so that both sets of a pair do the same
+        found.append(_emit(h[take], doc[take], np.where(which, n, 0), m, need, salt, small))
 
     some = n > 0
     scheme(0, some, low, lambda b: (b, 2 * b - 1, 2 * b - 1), lambda b, x: 2 * b - 1)

@@ -78,6 +78,20 @@ def test_every_similar_pair_shares_a_signature(size):
         assert set(sig[own == 0]) & set(sig[own == 1]), (len(x), len(y), inter)
 
 
+@pytest.mark.parametrize(("size", "other"), [(20, 24), (50, 60), (60, 70), (66, 70), (90, 100), (120, 140)])
+def test_short_sets_find_each_other(size, other, monkeypatch):
+    """With far too few segments for their need, both sets fall back on neighbourhoods or single shingles."""
+    monkeypatch.setattr(J, "segments", lambda low, high, top, num, den: max(2, int(0.9 * J._most(low, top, num, den))))
+    rng = np.random.default_rng(size)
+    for _ in range(60):
+        common = int(np.ceil(3 * (size + other) / 7))
+        x = rng.integers(0, 1 << 63, size, dtype=np.uint64) * np.uint64(2)
+        y = np.concatenate([x[:common], rng.integers(0, 1 << 63, other - common, dtype=np.uint64) * np.uint64(2)])
+        x, y = np.unique(x), np.unique(y)
+        sig, own = J.signatures(np.concatenate([x, y]), np.array([0, len(x), len(x) + len(y)]), 3, 4)
+        assert set(sig[own == 0]) & set(sig[own == 1])
+
+
 def test_maps_never_refuse_a_similar_pair():
     rng = np.random.default_rng(3)
     for _ in range(300):
