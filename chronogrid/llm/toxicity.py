@@ -42,7 +42,7 @@ from .common import saved, small_batches
 DECAY, WINDOW = 0.7, 7
 #: Bounds of training: labelled texts of each class, characters of them, landmarks, other units;
 #: characters of a unit that is trained on. Scoring has no bounds.
-MOST_TEXTS, MOST_CHARS, LANDMARKS, OTHERS = 1500, 8_000_000, 160, 8_000
+MOST_TEXTS, MOST_CHARS, LANDMARKS, OTHERS = 1000, 4_000_000, 160, 6_000
 MOST_UNIT = 64
 ROUNDS, GRAMS = 4, (5, 7, 9)
 CACHE = 200_000
@@ -226,7 +226,8 @@ def train(texts: list[str], labels: list[int]) -> Model:
         return _flat(share)
     rng = np.random.Generator(np.random.PCG64(11))
     plain = lambda u: "".join(c for c in u if c.isalnum() or c in STANDS_FOR)
-    bags = [[sorted({plain(u) for u in units_of(s) if len(u) <= MOST_UNIT} - {""}) for s in SENTENCE.split(t or "")] for t in texts]
+    one: dict[str, str] = {}  # a unit is held once, however many sentences have it
+    bags = [[sorted({one.setdefault(v, v) for v in (plain(u) for u in units_of(s) if len(u) <= MOST_UNIT) if v}) for s in SENTENCE.split(t or "")] for t in texts]
     n = {k: int((y == k).sum()) for k in (0, 1)}
     # How often a piece of a unit is met in toxic and in other texts says where to look first.
     grams = {0: Counter(), 1: Counter()}
@@ -301,10 +302,8 @@ def train(texts: list[str], labels: list[int]) -> Model:
     if model is None:
         share = (n[1] + 1) / (len(y) + 2)
         return _flat(share)
-    texts_units = [units_of(t or "") for t in texts]
-    every = sorted({u for us in texts_units for u in us})
-    known_margin = dict(zip(every, model.margins(every).tolist(), strict=True)) if every else {}
-    model.curve = _logistic(np.array([model.evidence([known_margin[u] for u in us]) for us in texts_units]), y)
+    seen: dict[str, float] = {}
+    model.curve = _logistic(_evidence(model, seen, texts), y)
     return model
 
 
