@@ -28,7 +28,7 @@ from .shingles import shingle_sets
 #: Fewest bits of the map by which far pairs are told apart before their sets are compared.
 SKETCH = 256
 #: Signatures' rows that are looked at together; a centre with more is split.
-TOGETHER = 20_000
+TOGETHER = 50_000
 #: Two sets with too many empty segments still agree within one deletion somewhere as long as
 #: their empty segments are under m - H / 2 on average. From this size on, hashing breaks that
 #: with a chance under 1e-12; the schemes below emit single shingles in place of neighbourhoods.
