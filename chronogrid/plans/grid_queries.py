@@ -97,8 +97,9 @@ def index_to_item(spark, d):
 
 
 def translate_labels(spark, d):
-    f = _frames(spark, d)
-    moved = G.translate(f.select("user_id", "frame", "voiced", "onset"), ["user_id"], -3, 40)
+    # A user's grid has as many frames as the user has events.
+    f = _frames(spark, d).withColumn("n", F.count("*").over(Window.partitionBy("user_id")))
+    moved = G.translate(f.select("user_id", "frame", "voiced", "onset", "n"), ["user_id"], -3, "n")
     return moved.select("user_id", "frame", "voiced", "onset")
 
 
