@@ -117,7 +117,7 @@ def hash_permutation(spark, d):
 
 
 def loader_batches(spark, d):
-    placed = P.permuted(events(spark, d).where("value > 250"), "event_id", 0, 2, ["event_type"])
+    placed = P.permuted(events(spark, d), "event_id", 0, 2, ["event_type"])
     return P.batches(placed, "place", 32).groupBy("event_type", "batch").agg(F.count("*").alias("n"), F.min("event_id").alias("least"))
 
 

@@ -52,3 +52,16 @@ def test_translate_labels_keeps_every_frame_of_long_tracks(spark, tables):
             if k >= 3:
                 want.append((user, k - 3, voiced, voiced and (i % 3 == 0 or k == 3)))
     assert rows_of(spark, d, "translate_labels", "user_id", "frame", "voiced", "onset") == sorted(want)
+
+
+def test_loader_batches_place_every_event(spark, tables):
+    d, events, *_ = tables
+    groups = defaultdict(list)
+    for e in events:
+        groups[e[2]].append(e[0])
+    want = []
+    for kind, ids in groups.items():
+        ids.sort(key=lambda i: (hashlib.md5(f"2:{i}".encode()).hexdigest(), i))
+        want += [(kind, a // 32, len(ids[a : a + 32]), min(ids[a : a + 32])) for a in range(0, len(ids), 32)]
+    got = rows_of(spark, d, "loader_batches", "event_type", "batch", "n", "least")
+    assert got == sorted(want) and sum(r[2] for r in got) == len(events)
