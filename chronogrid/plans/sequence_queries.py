@@ -85,8 +85,7 @@ def max_plus_scan(spark, d):
 
 def tempo_sections(spark, d):
     o = table(spark, d, "orders").select("o_custkey", (F.col("o_orderkey") * 10).alias("tick"), (F.col("o_orderkey") % 180 + 40).alias("bpm"))
-    changes = o.where("tick % 3 = 0")
-    sections = S.tempo_sections(changes, ["o_custkey"], "tick", "bpm", 960)
+    sections = S.tempo_sections(o, ["o_custkey"], "tick", "bpm", 960)
     return S.ticks_to_seconds(o.select("o_custkey", "tick"), sections, ["o_custkey"], "tick").select("o_custkey", "tick", F.round("seconds", 6).alias("seconds"))
 
 
@@ -151,8 +150,8 @@ def take_until_target(spark, d):
 
 
 def mirror_check(spark, d):
-    o = table(spark, d, "orders")
-    return P.mirrored(o.where("o_orderkey % 5 = 0").select("o_custkey").distinct(), o.where("o_orderkey % 2 = 0"), "o_custkey")
+    customers = table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"))
+    return P.mirrored(customers, table(spark, d, "orders"), "o_custkey")
 
 
 def robust_prior(spark, d):

@@ -65,3 +65,24 @@ def test_loader_batches_place_every_event(spark, tables):
         want += [(kind, a // 32, len(ids[a : a + 32]), min(ids[a : a + 32])) for a in range(0, len(ids), 32)]
     got = rows_of(spark, d, "loader_batches", "event_type", "batch", "n", "least")
     assert got == sorted(want) and sum(r[2] for r in got) == len(events)
+
+
+def test_mirror_check_holds_every_customer_against_every_order(spark, tables):
+    d, _, orders, customers = tables
+    cached = {c for _, c in orders}
+    assert rows_of(spark, d, "mirror_check", "o_custkey") == [c for c in customers if c[0] not in cached]
+
+
+def test_every_order_is_a_tempo_change(spark, tables):
+    d, _, orders, _ = tables
+    want = []
+    for customer in {c for _, c in orders}:
+        tick = second = 0
+        bpm = 120
+        for key in sorted(k for k, c in orders if c == customer):
+            second += (key * 10 - tick) * 60 / (bpm * 960)
+            tick, bpm = key * 10, key % 180 + 40
+            want.append((customer, tick, second))
+    got = rows_of(spark, d, "tempo_sections", "o_custkey", "tick", "seconds")
+    assert [r[:2] for r in got] == [r[:2] for r in sorted(want)]
+    assert [r[2] for r in got] == pytest.approx([r[2] for r in sorted(want)], abs=1e-6)
