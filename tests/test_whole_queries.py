@@ -21,7 +21,7 @@ def tables(spark, tmp_path_factory):
     users = [1] * 90 + [2] * 44 + [3] * 2 + [4] * 64
     rng.shuffle(users)
     events = [(k, u, rng.choice(KINDS), rng.uniform(1, 500), EPOCH + datetime.timedelta(minutes=rng.randrange(9000))) for k, u in enumerate(users)]
-    orders = [(k, rng.randrange(1, 13)) for k in range(1, 121)]
+    orders = [(k, rng.randrange(1, 13)) for k in [*range(1, 121), *range(4990, 5410)]]
     customers = [(k,) for k in range(1, 16)]
     for name, rows, schema in (
         ("events", events, "event_id long, user_id long, event_type string, value double, ts timestamp_ntz"),
@@ -86,3 +86,11 @@ def test_every_order_is_a_tempo_change(spark, tables):
     got = rows_of(spark, d, "tempo_sections", "o_custkey", "tick", "seconds")
     assert [r[:2] for r in got] == [r[:2] for r in sorted(want)]
     assert [r[2] for r in got] == pytest.approx([r[2] for r in sorted(want)], abs=1e-6)
+
+
+def test_index_to_item_reaches_every_track(spark, tables):
+    d, events, orders, _ = tables
+    frames = [(user, k) for user, track in sorted(tracks_of(events).items()) for k in range(len(track))]
+    got = rows_of(spark, d, "index_to_item", "o_orderkey", "user_id", "frame")
+    assert got == sorted((k, *frames[k % len(frames)]) for k, _ in orders)
+    assert {r[1:] for r in got} == set(frames)
