@@ -43,32 +43,51 @@ def leaf(tokens: list[str], depth: int = DEPTH) -> int:
 
 
 def _placed(depth: int, texts: bool):
-    """Rows (key, text) -> (key, number, leaf, line) of lines with tokens; with ``texts`` the distinct (leaf, line, tokens) of a batch."""
+    """Rows (key, text) -> (key, number, leaf, line, several) of lines with tokens; with ``texts`` the distinct (leaf, line, tokens) of a batch.
+
+    ``several``: the text has other lines too in the leaf.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, seen = [], {}
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                places, first, several = [], {}, set()
                 for number, line in enumerate((text or "").split("\n")):
                     if tokens := masked(line):
                         mark = _hash(" ".join(tokens))
                         if texts:
                             seen.setdefault(mark, (leaf(tokens, depth), mark, tokens))
                         else:
-                            rows.append((key, number, leaf(tokens, depth), mark))
+                            at = leaf(tokens, depth)
+                            if first.setdefault(at, mark) != mark:
+                                several.add(at)
+                            places.append((number, at, mark))
+                rows += [(key, *p, p[1] in several) for p in places]
             if texts:
                 rows = list(seen.values())
                 kinds, names = (pa.int64(), pa.int64(), pa.list_(pa.string())), ["leaf", "line", "tokens"]
             else:
-                kinds, names = (pa.int64(), pa.int32(), pa.int64(), pa.int64()), ["key", "number", "leaf", "line"]
+                kinds, names = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.bool_()), ["key", "number", "leaf", "line", "several"]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names)
 
     return run
 
 
+def _twice(lines: DataFrame, by: list[str]) -> DataFrame:
+    """(by..., twice): by how much the sum of the lines' documents is more than their distinct documents, of rows (key, by...) for a document's distinct lines."""
+    n = lines.groupBy("key", *by).agg(F.count("*").alias("n")).where("n > 1")
+    return n.groupBy(*by).agg(F.sum(F.col("n") - 1).alias("twice"))
+
+
 def templates(keyed: DataFrame, depth: int = DEPTH, recurs: int = RECURS, constant: float = CONSTANT) -> tuple[DataFrame, DataFrame]:
-    """Of rows (key, text): the lines' places (key, number, leaf, line) and the recurring templates' lines (leaf, line, template, documents)."""
-    lines = saved(keyed.mapInArrow(_placed(depth, False), "key long, number int, leaf long, line long"), "lines")
+    """Of rows (key, text): the lines' places (key, number, leaf, line) and the recurring templates' lines (leaf, line, template, documents).
+
+    A document counts once for a token and for a template, however many of its lines
+    have them: only documents with several lines in a leaf can be in a sum of the lines'
+    documents twice, and what they add is taken off. A key has one text.
+    """
+    lines = saved(keyed.mapInArrow(_placed(depth, False), "key long, number int, leaf long, line long, several boolean"), "lines")
     once = lines.select("key", "leaf", "line").distinct()
     counted = saved(once.groupBy("leaf", "line").agg(F.count("*").alias("documents")), "line-counts")
     # A leaf with fewer documents has no template that recurs. Texts are wanted of the others alone.
@@ -76,7 +95,11 @@ def templates(keyed: DataFrame, depth: int = DEPTH, recurs: int = RECURS, consta
     texts = keyed.mapInArrow(_placed(depth, True), "leaf long, line long, tokens array<string>").join(hot, "leaf", "left_semi")
     texts = saved(texts.groupBy("leaf", "line").agg(F.first("tokens").alias("tokens")).join(counted, ["leaf", "line"]), "line-texts")
     tokens = texts.select("leaf", "line", "documents", F.posexplode("tokens").alias("place", "token"))
-    support = tokens.groupBy("leaf", "place", "token").agg(F.sum("documents").alias("support")).where(F.col("support") >= recurs).where(F.col("token") != FIELD).drop("support")
+    repeats = saved(lines.where("several").select("key", "leaf", "line").distinct().join(texts.select("leaf", "line", "tokens"), ["leaf", "line"]), "repeats")
+    support = tokens.groupBy("leaf", "place", "token").agg(F.sum("documents").alias("support")).where(F.col("support") >= recurs).where(F.col("token") != FIELD)
+    place = ["leaf", "place", "token"]
+    twice = saved(_twice(repeats.select("key", "leaf", F.posexplode("tokens").alias("place", "token")), place), "twice")
+    support = support.join(twice, place, "left").where(F.col("support") - F.coalesce("twice", F.lit(0)) >= recurs).select(*place)
     told = tokens.join(support.withColumn("constant", F.lit(True)), ["leaf", "place", "token"], "left")
     shape = told.groupBy("leaf", "line").agg(
         F.first("documents").alias("documents"),
@@ -85,7 +108,9 @@ def templates(keyed: DataFrame, depth: int = DEPTH, recurs: int = RECURS, consta
     )
     shape = saved(shape.where(F.col("share") >= constant), "shapes")
     recurring = shape.groupBy("leaf", "template").agg(F.sum("documents").alias("total")).where(F.col("total") >= recurs)
-    return lines, shape.join(recurring, ["leaf", "template"]).select("leaf", "line", "template", F.col("total").alias("documents"))
+    twice = saved(_twice(repeats.drop("tokens").join(shape, ["leaf", "line"]), ["leaf", "template"]), "twice")
+    recurring = recurring.join(twice, ["leaf", "template"], "left").select("leaf", "template", (F.col("total") - F.coalesce("twice", F.lit(0))).alias("total")).where(F.col("total") >= recurs)
+    return lines.drop("several"), shape.join(recurring, ["leaf", "template"]).select("leaf", "line", "template", F.col("total").alias("documents"))
 
 
 def _without(text: pd.Series, numbers: pd.Series) -> pd.Series:
