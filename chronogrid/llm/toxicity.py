@@ -337,8 +337,29 @@ def held_out(doc_id) -> F.Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
 
 
+def _within(rows):
+    """Rows in order, without those that take their class over MOST_CHARS: all that ``_fitting`` may want."""
+    chars = {0: 0, 1: 0}
+    for r in rows:
+        if chars[r["toxic"]] + len(r["text"]) <= MOST_CHARS:
+            chars[r["toxic"]] += len(r["text"])
+            yield r
+
+
+def _fitting(rows: list[tuple[str, int]]) -> list[tuple[str, int]]:
+    """Rows (text, class) in order, as many as fit: each class has half of MOST_CHARS and what the other leaves."""
+    chars = [sum(len(t) for t, y in rows if y == k) for k in (0, 1)]
+    room = [max(MOST_CHARS // 2, MOST_CHARS - chars[1 - k]) for k in (0, 1)]
+    out = []
+    for text, y in rows:
+        if len(text) <= room[y]:
+            room[y] -= len(text)
+            out.append((text, y))
+    return out
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """Train on a bounded sample of labelled texts: at most MOST_TEXTS of each class, in order of a hash of the id, and MOST_CHARS in all (a text longer than that is not in the sample).
+    """Train on a bounded sample of labelled texts: at most MOST_TEXTS of each class, in order of a hash of the id, and MOST_CHARS in all: half for each class, and what one class leaves for the other. A text that does not fit is skipped; later ones still count.
 
     Rows of the held-out fold, null ids and null labels are not used.
     """
@@ -347,13 +368,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     chosen = saved(pool.where("toxic = 1").orderBy(*order).limit(MOST_TEXTS).unionByName(pool.where("toxic = 0").orderBy(*order).limit(MOST_TEXTS)), "toxic-sample")
     # The sample is at most 2 x MOST_TEXTS ids, so it may be broadcast.
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
-    texts = texts.where(F.length("text") <= MOST_CHARS).orderBy(*order)
-    rows, chars = [], 0
-    for r in texts.limit(2 * MOST_TEXTS).select("toxic", "text").toLocalIterator():
-        chars += len(r["text"])
-        if chars > MOST_CHARS and rows:
-            break
-        rows.append((r["text"], r["toxic"]))
+    texts = texts.where(F.length("text") <= MOST_CHARS // 2).orderBy(*order)
+    rows = _fitting([(r["text"], r["toxic"]) for r in _within(texts.limit(2 * MOST_TEXTS).select("toxic", "text").toLocalIterator())])
     return train([t for t, _ in rows], [k for _, k in rows])
 
 

@@ -1,9 +1,12 @@
 """What is counted, sampled and compared whole, from the definitions."""
 
 import random
+import zlib
 from collections import Counter, defaultdict
 
-from chronogrid.llm import line_templates as L
+from pyspark.sql import functions as F
+
+from chronogrid.llm import line_templates as L, quality as Q, toxicity as T
 
 
 def dropped(texts):
@@ -43,3 +46,12 @@ def test_documents_of_templates_are_distinct(spark):
     want = dropped(texts)
     assert 0 < len(want) < sum(t.count("\n") + 1 for t in texts.values())
     assert lost(spark, texts) == Counter(k for k, _ in want)
+
+
+def test_one_long_text_does_not_empty_the_toxic_sample(spark, monkeypatch):
+    monkeypatch.setattr(T, "MOST_CHARS", 2000)
+    monkeypatch.setattr(T, "train", lambda texts, classes: list(zip(texts, classes, strict=True)))
+    rows = [(i, "x" * (1900 if i % 5 == 0 else 20), i % 2) for i in range(40)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    got = T.fit(docs, spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int"))
+    assert sorted(got) == sorted((t, y) for i, t, y in rows if len(t) == 20 and zlib.crc32(str(i).encode()) % 5)
