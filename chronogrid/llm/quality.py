@@ -163,13 +163,17 @@ def _columns(docs: DataFrame) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """Train on bounded samples, drawn by a hash of the id: LABELLED labelled and UNLABELLED other documents, up to MOST_CHARS characters each."""
+    """Train on bounded samples, drawn by a hash of the id: LABELLED labelled and UNLABELLED other documents, up to MOST_CHARS characters each.
+
+    The others are drawn from all documents without a label. Where there is none, no
+    label is handed on, and each view learns from the labels alone.
+    """
     small_batches(docs.sparkSession)
     order = (F.xxhash64("doc_id", F.lit(3)), "doc_id")
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).where("doc_id IS NOT NULL AND quality IN (0, 1)").where(~held_out(F.col("doc_id"))).orderBy(*order).limit(LABELLED)
     known = saved(known, "quality-sample")
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL").orderBy(*order).limit(LABELLED + UNLABELLED)
-    others = saved(ids.join(F.broadcast(labels.select(F.col("doc_id").cast("long").alias("doc_id")).join(F.broadcast(ids), "doc_id", "left_semi")), "doc_id", "left_anti").orderBy(*order).limit(UNLABELLED).withColumn("quality", F.lit(-1)), "quality-others")
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL")
+    others = saved(ids.join(labels.select(F.col("doc_id").cast("long").alias("doc_id")), "doc_id", "left_anti").orderBy(*order).limit(UNLABELLED).withColumn("quality", F.lit(-1)), "quality-others")
     # At most LABELLED + UNLABELLED ids are broadcast.
     rows = _columns(docs).join(F.broadcast(known.unionByName(others).dropDuplicates(["doc_id"])), "doc_id").orderBy(*order).limit(LABELLED + UNLABELLED)
     features, meta, y, chars = [], [], [], {True: 0, False: 0}

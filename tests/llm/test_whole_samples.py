@@ -55,3 +55,14 @@ def test_one_long_text_does_not_empty_the_toxic_sample(spark, monkeypatch):
     docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
     got = T.fit(docs, spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int"))
     assert sorted(got) == sorted((t, y) for i, t, y in rows if len(t) == 20 and zlib.crc32(str(i).encode()) % 5)
+
+
+def test_unlabelled_documents_are_found_behind_labelled_ones(spark, monkeypatch):
+    monkeypatch.setattr(Q, "LABELLED", 6)
+    monkeypatch.setattr(Q, "UNLABELLED", 4)
+    monkeypatch.setattr(Q, "co_train", lambda features, meta, y: list(y))
+    docs = spark.range(300).selectExpr("id AS doc_id", "'a b' AS text", "'en' AS lang", "'s' AS source", "3L AS n_chars")
+    last = [r.doc_id for r in docs.orderBy(F.xxhash64("doc_id", F.lit(3)).desc()).limit(5).collect()]
+    labels = docs.where(~F.col("doc_id").isin(last)).selectExpr("doc_id", "CAST(doc_id % 2 AS int) AS quality")
+    got = Q.fit(docs, labels)
+    assert got.count(-1) == 4 and len(got) == 10
