@@ -66,17 +66,17 @@ def records(chunks: Iterator[bytes]) -> Iterator[bytes]:
 
 def inflated(stream) -> Iterator[bytes]:
     """Inflated bytes of a gzip file of one member or more, in bounded pieces."""
-    d = zlib.decompressobj(31)
-    begun = False
+    d, begun = zlib.decompressobj(31), False
     while piece := stream.read(_CHUNK):
         while piece:
-            begun, data = True, d.decompress(piece, 4 * _CHUNK)
-            while data or d.unconsumed_tail:
+            begun = True
+            if data := d.decompress(piece, 4 * _CHUNK):
                 yield data
-                data = d.decompress(d.unconsumed_tail, 4 * _CHUNK)
-            piece = d.unused_data
+            # After a member's end only unused_data tells what is left; unconsumed_tail may be stale.
             if d.eof:
-                d, begun = zlib.decompressobj(31), False
+                piece, d, begun = d.unused_data, zlib.decompressobj(31), False
+            else:
+                piece = d.unconsumed_tail
     if begun:
         raise ValueError("the gzip stream ends early")
 
