@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
@@ -58,19 +59,60 @@ def test_wide_vocabulary_takes_32_bits(spark, tokenizer):
     assert rows[0].ids_crc32 == zlib.crc32(np.array(ids, "<u4").tobytes())
 
 
-marks = st.lists(st.sampled_from([" ", "  ", "\n", "\t", " ", "a", "Bc", "'s", "'re", "'", "12", "é", "ß", "!", ".,", "...", "<|endoftext|>", "\x85", "日", "😀", "\r\n", "​", "_", "ǅ", "ª", "²"]), max_size=20).map("".join)
+marks = st.lists(st.sampled_from([" ", "  ", "\n", "\t", "\xa0", "\u2009", "\u3000", "\x1c", "a", "Bc", "'s", "'re", "'", "12", "é", "ß", "!", ".,", "...", "<|endoftext|>", "\x85", "日", "😀", "\r\n", "\u200b", "_", "ǅ", "ª", "²", "\x00"]), max_size=20).map("".join)
+
+
+def pieced(encoder, texts):
+    ids, bounds = encoder.encode(pa.array(texts, pa.string()))
+    return [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+
+
+def whole(tokenizer, texts):
+    return [e.ids for e in tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
 
 
 @settings(max_examples=500, deadline=None)
 @given(st.lists(marks, max_size=4))
 def test_pieces_have_the_text_s_ids(encoder, tokenizer, texts):
-    got = [np.frombuffer(x, "<u2").tolist() for x in encoder.encode(texts)]
-    assert got == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert pieced(encoder, texts) == whole(tokenizer, texts)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(max_size=40), max_size=4))
+def test_any_text_has_its_ids(encoder, tokenizer, texts):
+    assert pieced(encoder, texts) == whole(tokenizer, texts)
+
 
+def test_many_random_texts_have_their_ids(encoder, tokenizer):
+    rng = random.Random(4)
+    parts = [" ", " ", " ", "  ", "\n", "\n\n", "\t", "\xa0", "\x85", "\x1f", "'t", "'ll", "!", "?!", "a", "Zz", "the", "éa", "日本", "٣", "7", "-", "\u0301", "\U0001f600", "|"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(14))) for _ in range(20_000)]
+    for a in range(0, len(texts), 2500):
+        assert pieced(encoder, texts[a : a + 2500]) == whole(tokenizer, texts[a : a + 2500])
 
-def test_memory_may_be_cleared(encoder, tokenizer, monkeypatch, words):
-    monkeypatch.setattr(encoder, "memory", 5)
+
+def test_memory_may_be_full(tokenizer, words):
+    small = R.Encoder(tokenizer_path(), 16)
+    small.memory = 40
     rng = random.Random(1)
-    for _ in range(5):
-        t = " ".join(rng.choice(words) for _ in range(50))
-        assert np.frombuffer(encoder.encode([t])[0], "<u2").tolist() == tokenizer.encode(t, add_special_tokens=False).ids
+    for _ in range(30):
+        texts = [" ".join(rng.choice(words) for _ in range(50)), None, "", rng.choice(words)]
+        assert pieced(small, texts) == whole(tokenizer, texts)
+    assert len(small.known) <= 40 and small.entries <= 3 * 40 + 200
+
+
+def test_ids_that_do_not_fit_are_refused(encoder):
+    with pytest.raises(ValueError):
+        encoder._raw([70_000])
+
+
+def test_shuffled_reads_by_offset(spark, docs, corpus, tokenizer):
+    folder = work_dir(spark, "t")
+    index = R.offset_index(R.write_records(docs, folder, tokenizer_path()), folder)
+    assert index.count() == len(corpus)
+    one, same, other = ([(r.doc_id, *r.ids) for r in R.shuffled(index, folder, seed).collect()] for seed in (1, 1, 2))
+    assert one == same and one != other
+    want = sorted((i, *tokenizer.encode(t or "", add_special_tokens=False).ids, 0) for i, t in corpus)
+    assert sorted(one) == sorted(other) == want and one != want
+    some = [tuple(r) for r in R.shuffled(index.where("doc_id = 108"), folder, 3).collect()]
+    assert some == [(108, [*tokenizer.encode(dict(corpus)[108], add_special_tokens=False).ids, 0])]
