@@ -45,6 +45,8 @@ DECAY, WINDOW = 0.7, 7
 MOST_TEXTS, MOST_CHARS, LANDMARKS, OTHERS = 1000, 4_000_000, 160, 6_000
 MOST_UNIT = 64
 ROUNDS, GRAMS = 4, (5, 7, 9)
+#: Parts of the sample; the score's curve is fitted on parts that a model has not seen.
+FOLDS = 3
 CACHE = 200_000
 #: Fixed folding of characters that stand for letters.
 STANDS_FOR = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"}
@@ -219,11 +221,35 @@ def _inserted(unit: str, rng: np.random.Generator) -> str:
 
 
 def train(texts: list[str], labels: list[int]) -> Model:
-    """Fit a model on whole texts labelled 0 or 1. With one class alone, every text has the same score."""
+    """Fit a model on whole texts labelled 0 or 1. With one class alone, every text has the same score.
+
+    The score's curve is fitted on evidence of texts that the margin was not trained on:
+    each of FOLDS parts of the texts is measured by a model of the others. Where a class
+    has fewer texts than parts, the curve is that of the texts themselves.
+    """
     y = np.array(labels)
-    if len(set(labels)) < 2:
-        share = (int((y == 1).sum()) + 1) / (len(y) + 2)
+    share = (int((y == 1).sum()) + 1) / (len(y) + 2)
+    model = _margins(texts, y) if len(set(labels)) == 2 else None
+    if model is None:
         return _flat(share)
+    fold = np.empty(len(y), int)
+    for k in (0, 1):
+        fold[y == k] = np.arange(int((y == k).sum())) % FOLDS
+    unseen, known = np.zeros((len(y), 4)), np.zeros(len(y), bool)
+    for f in range(FOLDS):
+        there, here = np.flatnonzero(fold != f), np.flatnonzero(fold == f)
+        part = _margins([texts[k] for k in there], y[there]) if len(set(y[there].tolist())) == 2 else None
+        if part is not None and len(here):
+            unseen[here], known[here] = _evidence(part, {}, [texts[k] for k in here]), True
+    if len(set(y[known].tolist())) < 2:
+        unseen, known = _evidence(model, {}, texts), np.ones(len(y), bool)
+    model.curve = _logistic(unseen[known], y[known])
+    return model
+
+
+def _margins(texts: list[str], y: np.ndarray) -> Model | None:
+    """A model without its score's curve, of texts of both classes; None if nothing tells them apart."""
+    labels = y.tolist()
     rng = np.random.Generator(np.random.PCG64(11))
     plain = lambda u: "".join(c for c in u if c.isalnum() or c in STANDS_FOR)
     one: dict[str, str] = {}  # a unit is held once, however many sentences have it
@@ -299,11 +325,6 @@ def train(texts: list[str], labels: list[int]) -> Model:
         hard = model.margins(clean)
         worst = np.argsort(-hard)[: OTHERS // 4]
         base = list(dict.fromkeys(base + [clean[i] for i in worst if hard[i] > -0.9]))
-    if model is None:
-        share = (n[1] + 1) / (len(y) + 2)
-        return _flat(share)
-    seen: dict[str, float] = {}
-    model.curve = _logistic(_evidence(model, seen, texts), y)
     return model
 
 
