@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import open_fs, saved, small_batches, work_dir
+from .common import open_fs, saved, work_dir
 
 #: Payload bytes after which the writer begins a new archive.
 ARCHIVE_BYTES = 64 << 20
@@ -122,7 +122,6 @@ def write_monolithic(pages: DataFrame, folder: str, level: int = 1) -> DataFrame
     null page_id revisits a known one or else is a response. A null url leaves its field
     out. An empty table gives no archive.
     """
-    small_batches(pages.sparkSession)
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     rows = rows.withColumn("digest", F.sha2(F.coalesce("html", F.lit("")), 256))
     long_ = rows.where(F.octet_length("html") >= REVISIT_BYTES)
@@ -162,6 +161,24 @@ def normalise(archives: DataFrame, folder: str, level: int = 6) -> DataFrame:
     return saved(archives.select("path").repartition(parts, "path").mapInArrow(_normalised(folder, level), "path string, offset long, length long"), "index")
 
 
+def _listed(folder: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, _ = open_fs(folder)
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                with fs.open_input_stream(path + ".idx", compression=None) as f:
+                    places = [json.loads(x) for x in f.read().decode().splitlines()]
+                yield pa.RecordBatch.from_arrays([pa.array([path] * len(places), pa.string()), *(pa.array([x[k] for x in places], pa.int64()) for k in ("offset", "length"))], ["path", "offset", "length"])
+
+    return run
+
+
+def sidecar_index(archives: DataFrame, folder: str) -> DataFrame:
+    """(path, offset, length) of all records of archives (path, ...), from their sidecar files alone. Repeated paths count once."""
+    parts = 4 * archives.sparkSession.sparkContext.defaultParallelism
+    return archives.select("path").distinct().repartition(parts, "path").mapInArrow(_listed(folder), "path string, offset long, length long")
+
+
 def _parsed(folder: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, _ = open_fs(folder)
@@ -204,8 +221,8 @@ def read_archives(index: DataFrame, folder: str, payloads: bool = True) -> DataF
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
-    """Write ``pages`` to whole-file gzip archives, normalise them, and read all records back."""
+    """Write ``pages`` to whole-file gzip archives, normalise them, and read all records back by the sidecars' offsets."""
     spark: SparkSession = pages.sparkSession
     first, second = work_dir(spark, "warc-raw"), work_dir(spark, "warc")
-    index = normalise(write_monolithic(pages, first), second)
-    return read_archives(index, second)
+    archives = normalise(write_monolithic(pages, first), second).select("path")
+    return read_archives(sidecar_index(archives, second), second)

@@ -1,6 +1,7 @@
 import gzip
 import hashlib
 import io
+import itertools
 import json
 import random
 
@@ -60,3 +61,30 @@ def test_inflates_one_member_or_many():
         assert list(warc.records(warc.inflated(io.BytesIO(packed)))) == parts
         with pytest.raises(ValueError):
             list(warc.records(warc.inflated(io.BytesIO(packed[:-20]))))
+
+
+def test_inflating_ends_whatever_follows_a_member_in_a_piece():
+    """Members of more and of less than a piece, in every order: each inflated piece is told once, and the stream ends."""
+    big, small, noise = b"0" * 9_000_000, b"abc", random.Random(3).randbytes(3_000_000)
+    for order in itertools.permutations([big, small, noise, b""]):
+        told = itertools.islice(warc.inflated(io.BytesIO(b"".join(gzip.compress(x, 1) for x in order))), 1000)
+        assert b"".join(told) == b"".join(order)
+
+
+def test_many_large_members():
+    part = b"x" * 5_000_000
+    told = list(itertools.islice(warc.inflated(io.BytesIO(gzip.compress(part, 1) * 30)), 1000))
+    assert sum(map(len, told)) == 30 * len(part) and all(told)
+
+
+def test_records_are_read_by_the_sidecars_alone(spark):
+    raw, out = work_dir(spark, "t"), work_dir(spark, "t")
+    index = warc.normalise(warc.write_monolithic(spark.createDataFrame(ROWS, SCHEMA).repartition(3), raw), out)
+    listed = warc.sidecar_index(index.select("path"), out)
+    assert sorted(map(tuple, listed.collect())) == sorted(map(tuple, index.select("path", "offset", "length").collect()))
+    fs, _ = open_fs(out)
+    path = index.first().path
+    with fs.open_output_stream(path + ".idx", compression=None) as f:
+        f.write(b"")
+    n = index.where(index.path == path).count()
+    assert warc.read_archives(warc.sidecar_index(index, out), out).count() == len(ROWS) - n
