@@ -4,6 +4,9 @@ A test item of n characters may be met with up to k = floor(n * rate) edits. It
 into k + 1 pieces, of which at least one survives k edits unchanged. All pieces of all
 items are found in a text at once by an Aho-Corasick automaton; around each hit the item
 is verified by Myers' bit-parallel edit distance.
+
+Items are written to shared storage in blocks of bounded size, and a worker reads the
+block it matches with: no item passes through the driver.
 """
 
 from __future__ import annotations
@@ -14,12 +17,12 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import small_batches
+from .common import open_fs, saved, work_dir
 
 #: Edits allowed, as a share of an item's characters.
 RATE = 0.08
-#: Characters of items that one automaton may hold; more items are matched in several blocks.
-BLOCK_CHARS = 16_000_000
+#: Characters of items that one automaton may hold; more items are matched in several blocks, one pass each.
+BLOCK_CHARS = 4_000_000
 
 MATCHES = "item_id long, distance int, at long"
 
@@ -64,13 +67,14 @@ def myers(pattern: str, text: str, most: int) -> tuple[int, int] | None:
 
 
 class Matcher:
-    """Finds items in texts. Items are (id, text); empty ones and null ids match nothing."""
+    """Finds items in texts. Items are (id, text) or (id, text, how often it is wanted); empty ones and null ids match nothing."""
 
-    def __init__(self, items: list[tuple[int, str]], rate: float = RATE):
+    def __init__(self, items: list[tuple], rate: float = RATE):
         import ahocorasick
 
-        self.items = [(i, normalise(t)) for i, t in items if i is not None and t]
-        self.items = [(i, t) for i, t in self.items if t]
+        known = [(i, normalise(t), n[0] if n else 1) for i, t, *n in items if i is not None and t]
+        self.items = [(i, t) for i, t, _ in known if t]
+        self.times = [n for _, t, n in known if t]
         self.most = [int(len(t) * rate) for _, t in self.items]
         places: dict[str, list[tuple[int, int]]] = {}
         for k, (_, t) in enumerate(self.items):
@@ -112,24 +116,45 @@ class Matcher:
                     if not best[0]:
                         break
             if best:
-                found.append((self.items[k][0], *best))
+                found += [(self.items[k][0], *best)] * self.times[k]
         return sorted(found)
 
 
-def _blocks(items: DataFrame) -> list[list[tuple[int, str]]]:
-    """The items, in blocks of bounded size; more than one only where the benchmark is larger than a block."""
-    rows = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
+def _blocks(items: DataFrame) -> list[str]:
+    """Folders of the items' blocks on shared storage, each of some BLOCK_CHARS characters; more than one only where the benchmark is larger."""
+    rows = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id IS NOT NULL AND text <> ''")
+    rows = rows.groupBy("item_id", "text").agg(F.count("*").alias("times"))
     total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = -(-int(total) // BLOCK_CHARS) or 1
-    if blocks == 1:
-        return [[tuple(r) for r in rows.collect()]]
+    folder = work_dir(items.sparkSession, "items")
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
-    return [[tuple(r) for r in dealt.where(F.col("block") == k).drop("block").collect()] for k in range(blocks)]
+    dealt.repartition("block").write.mode("overwrite").partitionBy("block").parquet(folder)
+    return [f"{folder}/block={k}" for k in range(blocks)]
+
+
+_matchers: dict[tuple[str, float], Matcher] = {}
+
 
+def _matcher(block: str, rate: float) -> Matcher:
+    """The matcher of a block's items; a worker keeps the last one."""
+    if (block, rate) not in _matchers:
+        import pyarrow.parquet as pq
+        from pyarrow.fs import FileSelector
 
-def _matched(items: list[tuple[int, str]], rate: float):
+        fs, path = open_fs(block)
+        items = []
+        for f in sorted(fs.get_file_info(FileSelector(path, allow_not_found=True)), key=lambda f: f.path):
+            if f.path.endswith(".parquet"):
+                with fs.open_input_file(f.path) as source:
+                    items += pq.read_table(source, columns=["item_id", "text", "times"]).to_pylist()
+        _matchers.clear()
+        _matchers[block, rate] = Matcher([(x["item_id"], x["text"], x["times"]) for x in items], rate)
+    return _matchers[block, rate]
+
+
+def _matched(block: str, rate: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(items, rate)
+        matcher = _matcher(block, rate)
         for batch in batches:
             rows = [(d, *m) for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for m in matcher.find(t or "")]
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64())
@@ -145,10 +170,11 @@ def matches(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataFrame:
     least edit distance of the item to any place of the text and ``at`` where the first
     such place ends, in the normalised text. Whole texts are searched. Null and empty
     texts and items match nothing; items with a null id are left out; items that repeat
-    an id are looked for each, and rows that repeat a document are each searched. Other
+    an id are looked for each, and rows that repeat a document are each searched. An item
+    is a run of characters and not of words: one of a few characters is met in every text
+    that has these, inside words too, and allows no edits under 1 / rate characters. Other
     columns are not read. An empty table on either side gives no rows.
     """
-    small_batches(docs.sparkSession)
     base = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     out = None
     for block in _blocks(items):
@@ -157,13 +183,10 @@ def matches(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataFrame:
     return out
 
 
-def _clean(items: list[tuple[int, str]], rate: float):
-    state: list[Matcher] = []
-
+def _clean(block: str, rate: float):
     def run(text: pd.Series) -> pd.Series:
-        if not state:
-            state.append(Matcher(items, rate))
-        return pd.Series([not state[0].find(t or "") for t in text], dtype=bool)
+        matcher = _matcher(block, rate)
+        return pd.Series([not matcher.find(t or "") for t in text], dtype=bool)
 
     return run
 
@@ -173,7 +196,7 @@ def decontaminated(docs: DataFrame, items: DataFrame, rate: float = RATE) -> Dat
 
     Decided row by row, without a join. Null and empty texts stay.
     """
-    small_batches(docs.sparkSession)
-    for block in _blocks(items):
-        docs = docs.where(F.pandas_udf(_clean(block, rate), "boolean")(F.col("text").cast("string")))
+    for k, block in enumerate(_blocks(items)):
+        # A table between passes, so that no worker holds the items of two blocks.
+        docs = (saved(docs, "decontaminated") if k else docs).where(F.pandas_udf(_clean(block, rate), "boolean")(F.col("text").cast("string")))
     return docs
