@@ -2,7 +2,8 @@
 
 Each source's words, document after document, fill blocks of a fixed number of words.
 The mix is a row of output shards; a shard's number of slots for each source is a
-multinomial draw from what the sources still owe. Slot j of a source goes to block
+multinomial draw from what the sources still owe, made for groups of shards first and
+then, in tasks, for the shards of each group. Slot j of a source goes to block
 perm(j mod blocks) of its pass j div blocks, with a pseudorandom permutation of the
 block numbers for each source and pass, and slots meet blocks in a join by number.
 """
@@ -18,12 +19,12 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .common import saved, small_batches
+from .common import saved
 
 #: Words in a block.
 BLOCK = 128
-#: Fewest slots of a shard, and most shards.
-SHARD_SLOTS, SHARDS = 4096, 4096
+#: Fewest slots of a shard, most shards, and most groups of shards.
+SHARD_SLOTS, SHARDS, GROUPS = 4096, 4096, 64
 #: Weights of the sources, repeated, and the mix's share of all words; no source beyond CAP times its size.
 WEIGHTS, SHARE, CAP = (3, 1, 2), 1.5, 2.0
 WORD = r"[^\x20\x09-\x0D]+"
@@ -52,23 +53,44 @@ def targets(sizes: dict[str | None, int], weights: tuple = WEIGHTS, share: float
             return fixed
 
 
-def _draws(slots: np.ndarray, seed: int) -> list[tuple[int, int, int, int]]:
-    """(shard, source, first slot, slots): multinomial draws for each shard, from what is owed; the last shards take what is left."""
-    rng = np.random.Generator(np.random.PCG64(seed))
-    owed, given = slots.astype(np.int64).copy(), np.zeros(len(slots), np.int64)
-    size = max(SHARD_SLOTS, -(-int(owed.sum()) // SHARDS))
-    out, shard = [], 0
-    while owed.sum():
-        want, counts = min(size, int(owed.sum())), np.zeros(len(slots), np.int64)
-        while want:
+def draws(owed: np.ndarray, sizes: list[int], seed: tuple) -> Iterator[np.ndarray]:
+    """For each bin, of the sizes given, a multinomial draw of slots by source from what the sources still owe; the bins take all that is owed."""
+    rng, owed = np.random.default_rng(seed), owed.astype(np.int64).copy()
+    for size in sizes:
+        counts = np.zeros(len(owed), np.int64)
+        while (want := size - int(counts.sum())) > 0:
             open_ = owed - counts
             counts += np.minimum(rng.multinomial(want, open_ / open_.sum()), open_)
-            want = min(size, int(owed.sum())) - int(counts.sum())
-        out += [(shard, int(s), int(given[s]), int(counts[s])) for s in np.flatnonzero(counts)]
-        owed, given, shard = owed - counts, given + counts, shard + 1
+        owed -= counts
+        yield counts
+
+
+def _groups(slots: np.ndarray, seed: int) -> list[tuple[int, int, bytes, bytes]]:
+    """(first shard, slots of a full shard, slots by source before the group, and in it) of groups of shards that follow one another.
+
+    The driver draws for groups alone, of which there are GROUPS at most; a task draws for the shards of one group.
+    """
+    total = int(slots.sum())
+    size = max(SHARD_SLOTS, -(-total // SHARDS))
+    shards = -(-total // size)
+    each = max(1, -(-shards // GROUPS))
+    sizes = [min(each * size, total - a) for a in range(0, total, each * size)]
+    given, out = np.zeros(len(slots), np.int64), []
+    for k, counts in enumerate(draws(slots, sizes, (seed, 0))):
+        out.append((k * each, size, given.tobytes(), counts.tobytes()))
+        given = given + counts
     return out
 
 
+def shard_draws(first_shard: int, size: int, given: bytes, counts: bytes, seed: int) -> Iterator[tuple[int, int, int, int]]:
+    """(shard, source, first slot, slots) of the shards of a group."""
+    given, counts = np.frombuffer(given, np.int64).copy(), np.frombuffer(counts, np.int64)
+    total = int(counts.sum())
+    for k, drawn in enumerate(draws(counts, [min(size, total - a) for a in range(0, total, size)], (seed, 1, first_shard))):
+        yield from ((first_shard + k, int(s), int(given[s]), int(drawn[s])) for s in np.flatnonzero(drawn))
+        given += drawn
+
+
 def permuted(index: np.ndarray, n: int, key: int) -> np.ndarray:
     """A keyed bijection of 0..n-1: four Feistel rounds on the next even power of two, walked until inside."""
     half = max(1, (max(n - 1, 1).bit_length() + 1) // 2)
@@ -87,17 +109,29 @@ def permuted(index: np.ndarray, n: int, key: int) -> np.ndarray:
     return x.astype(np.int64)
 
 
-def _slots(seed: int):
+def _slots(blocks: list[int], seed: int):
+    """Groups of shards -> their slots. ``blocks``: how many a source has."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["shard", "source_no", "slot", "pass", "block"]
         for batch in batches:
-            for shard, source, first, count, blocks in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                for a in range(first, first + count, 1 << 16):
-                    j = np.arange(a, min(a + (1 << 16), first + count))
-                    rounds, block = j // blocks, np.empty(len(j), np.int64)
-                    for r in np.unique(rounds):
-                        here = rounds == r
-                        block[here] = permuted(j[here] % blocks, blocks, (seed * 1_000_003 + source) * 1_000_003 + int(r))
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(j), shard)), pa.array(np.full(len(j), source, np.int64)), pa.array(j), pa.array(rounds), pa.array(block)], ["shard", "source_no", "slot", "pass", "block"])
+            for group in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                held, rows = 0, []
+                for shard, source, first, count in shard_draws(*group, seed):
+                    n = blocks[source]
+                    for a in range(first, first + count, 1 << 16):
+                        j = np.arange(a, min(a + (1 << 16), first + count))
+                        rounds, block = j // n, np.empty(len(j), np.int64)
+                        for r in np.unique(rounds):
+                            here = rounds == r
+                            block[here] = permuted(j[here] % n, n, (seed * 1_000_003 + source) * 1_000_003 + int(r))
+                        rows.append((np.full(len(j), shard), np.full(len(j), source), j, rounds, block))
+                        held += len(j)
+                        if held >= 1 << 16:
+                            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*rows, strict=True)], names)
+                            held, rows = 0, []
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*rows, strict=True)], names)
 
     return run
 
@@ -134,17 +168,17 @@ class Mix:
         # Two-level running sums: a source may own most documents, so its rows are dealt
         # to groups by a hash and only the groups' totals meet in one place.
         # With as many groups as a group has documents, neither level grows beyond the root.
-        groups = max(1, math.isqrt(sum(int(r["n"]) for r in sums)))
-        dealt = sized.join(F.broadcast(self.sources.select("source", "source_no")), sized["source"].eqNullSafe(self.sources["source"])).drop(self.sources["source"]).withColumn("part", F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(groups)))
+        parts = max(1, math.isqrt(sum(int(r["n"]) for r in sums)))
+        dealt = sized.join(F.broadcast(self.sources.select("source", "source_no")), sized["source"].eqNullSafe(self.sources["source"])).drop(self.sources["source"]).withColumn("part", F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(parts)))
         totals = dealt.groupBy("source_no", "part").agg(F.sum("size").alias("words"))
         before = Window.partitionBy("source_no").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
         bases = totals.select("source_no", "part", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("base"))
         inside = Window.partitionBy("source_no", "part").orderBy("doc_id", "text_key", "size").rowsBetween(Window.unboundedPreceding, -1)
         self.placed = saved(dealt.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(bases, ["source_no", "part"]).select("doc_id", "source", "source_no", "text_key", "size", (F.col("base") + F.col("inside")).alias("start")), "placed")
 
-        per = [(*d, int(blocks[d[1]])) for d in _draws(slots, seed)] if len(slots) else []
-        drawn = spark.createDataFrame(per, "shard long, source_no long, first long, n long, blocks long")
-        self.slots = drawn.repartition(4 * spark.sparkContext.defaultParallelism).mapInArrow(_slots(seed), "shard long, source_no long, slot long, pass long, block long")
+        # At most GROUPS rows, two numbers a source each; the shards' draws are made in tasks.
+        groups = spark.createDataFrame(_groups(slots, seed), "first_shard long, size long, given binary, counts binary")
+        self.slots = groups.repartition(GROUPS, "first_shard").mapInArrow(_slots(blocks.tolist(), seed), "shard long, source_no long, slot long, pass long, block long")
         number = F.explode(F.sequence(F.expr(f"start DIV {BLOCK}"), F.expr(f"(start + size - 1) DIV {BLOCK}")))
         cut = self.placed.where("size > 0").select("doc_id", "source_no", "text_key", "start", "size", number.alias("block"))
         low, high = F.greatest(F.lit(0), F.col("block") * BLOCK - F.col("start")), F.least(F.col("size"), (F.col("block") + 1) * BLOCK - F.col("start"))
@@ -202,5 +236,4 @@ def _cut(text: pd.Series, runs: pd.Series) -> pd.Series:
 
 
 def mix(docs: DataFrame, seed: int = 17) -> Mix:
-    small_batches(docs.sparkSession)
     return Mix(docs, seed)

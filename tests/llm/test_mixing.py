@@ -72,3 +72,50 @@ def test_permutation(n):
     p = M.permuted(np.arange(n), n, 12)
     assert sorted(p) == list(range(n))
     assert n < 60 or (p != M.permuted(np.arange(n), n, 13)).any()
+
+
+def test_against_brute_force_word_by_word(docs, monkeypatch):
+    """The sources' words laid out one by one, every slot's block cut from them, and each word's document counted."""
+    monkeypatch.setattr(M, "SHARD_SLOTS", 3)
+    monkeypatch.setattr(M, "GROUPS", 4)
+    mixed = M.mix(docs)
+    laid = {}
+    for r in mixed.placed.orderBy("source_no", "start", "size").collect():
+        words = laid.setdefault(r.source_no, [])
+        assert r.start == len(words)
+        words += [(r.doc_id, r.start)] * r["size"]
+    wanted = {r.source_no: r.target for r in mixed.sources.collect()}
+    taken, by_source, shards = {}, {}, {}
+    for r in mixed.slots.collect():
+        for key in laid[r.source_no][r.block * M.BLOCK : (r.block + 1) * M.BLOCK]:
+            taken[key] = taken.get(key, 0) + 1
+        by_source.setdefault(r.source_no, []).append((r.slot, r["pass"], r.block))
+        shards[r.shard] = shards.get(r.shard, 0) + 1
+    for source, slots in by_source.items():
+        n = -(-len(laid[source]) // M.BLOCK)
+        assert sorted(s for s, _, _ in slots) == list(range(len(slots)))
+        assert len(slots) == min(2 * n, round(wanted[source] * n / len(laid[source])))
+        for turn in {p for _, p, _ in slots}:
+            met = [b for s, p, b in slots if p == turn]
+            assert len(set(met)) == len(met) and set(met) <= set(range(n)) and all(s // n == turn for s, p, _ in slots if p == turn)
+    assert sorted(shards) == list(range(len(shards))) and all(shards[k] == 3 for k in sorted(shards)[:-1])
+    starts = {(r.doc_id, r.start): r["size"] for r in mixed.placed.where("size > 0").collect()}
+    got = {}
+    for r in mixed.rows().groupBy("doc_id", "start").agg({"words": "sum"}).collect():
+        got[r.doc_id, r.start] = r["sum(words)"]
+    assert got == taken and set(taken) <= set(starts)
+    assert sorted(t for t in got.values()) == sorted(r.taken for r in mixed.taken().collect() if r.taken)
+
+
+def test_draws_of_many_sources_stay_small_on_the_driver():
+    slots = np.arange(10_000, dtype=np.int64) * 37
+    groups = M._groups(slots, 5)
+    assert len(groups) <= M.GROUPS
+    assert (sum(np.frombuffer(g[3], np.int64) for g in groups) == slots).all()
+    first, size, given, counts = groups[3]
+    drawn, last = np.frombuffer(given, np.int64).copy(), {}
+    for shard, source, start, n in M.shard_draws(first, size, given, counts, 5):
+        assert start == drawn[source] and shard >= first
+        drawn[source] += n
+        last[shard] = last.get(shard, 0) + n
+    assert set(last.values()) == {size} and (drawn == np.frombuffer(groups[4][2], np.int64)).all()
