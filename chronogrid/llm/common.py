@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -19,11 +20,15 @@ def work_dir(spark: SparkSession, tag: str) -> str:
     """A new folder on the storage that all executors share.
 
     The cluster names that storage in ``spark.checkpoint.dir``. Only where it is
-    unset (tests, a single machine) a local folder is made and used instead.
+    unset and all executors are threads of this process (master ``local``: tests, a
+    single machine) a local folder is made and used instead; elsewhere RuntimeError.
     The folder is deleted when the session ends.
     """
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
     if not base:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"spark.checkpoint.dir is unset, and executors of {master} share no local folder")
         base = "file://" + tempfile.mkdtemp(prefix="chronogrid-")
         spark.sparkContext.setCheckpointDir(base)
     path = f"{base.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
@@ -36,16 +41,33 @@ def work_dir(spark: SparkSession, tag: str) -> str:
     return path
 
 
-def saved(df: DataFrame, tag: str) -> DataFrame:
-    """``df`` written to shared storage and read again: cuts lineage, survives lost executors."""
-    spark, key = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    path, before = work_dir(spark, tag), spark.conf.get(key, None)
-    spark.conf.set(key, "true")  # what this write shuffled is of no use after it
+@contextmanager
+def settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    """Session settings (``__`` for a dot) that hold inside the block; before and after it the caller's do."""
+    names = {k.replace("__", "."): v for k, v in values.items()}
+    before = {k: spark.conf.get(k, None) for k in names}
     try:
-        df.write.mode("overwrite").parquet(path)
+        for k, v in names.items():
+            spark.conf.set(k, v)
+        yield
     finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def saved(df: DataFrame, tag: str, rows: int = 512) -> DataFrame:
+    """``df`` written to shared storage and read again: cuts lineage, survives lost executors.
+
+    While it is written, an Arrow batch carries at most ``rows`` rows to a Python worker,
+    and shuffle files are freed when the table is there. The session's settings are as
+    before afterwards; frames that are returned unwritten go by them.
+    """
+    spark = df.sparkSession
+    path, batch = work_dir(spark, tag), int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    batch = rows if batch <= 0 else min(batch, rows)
+    with settings(spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true", spark__sql__execution__arrow__maxRecordsPerBatch=str(batch)):
+        df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def open_fs(uri: str):
@@ -85,10 +107,3 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(27))
     x = x * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
-
-
-def small_batches(spark: SparkSession, rows: int = 512) -> None:
-    """Bound the rows that one Arrow batch of whole texts carries to a Python worker."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key)) > rows:
-        spark.conf.set(key, str(rows))

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import mix64, saved, small_batches, text_slices
+from .common import mix64, saved, text_slices
 from .components import components
 from .shingles import shingle_sets
 
@@ -367,7 +367,6 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     returned. Other columns are not read. An empty table gives no rows.
     """
     spark = docs.sparkSession
-    small_batches(spark)
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     seen = saved(base.mapInArrow(_profiles(words), "doc_id long, digest binary, n_shingles long, sketch binary"), "profiles")
     # Copies collapse to the smallest id; the grouped minimum is combined before the shuffle.

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import saved, small_batches, text_slices
+from .common import saved, text_slices
 from .shingles import word_hashes, word_spans
 
 #: Bounds of training: labelled and unlabelled documents, and characters that either sample may have.
@@ -168,7 +168,6 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     The others are drawn from all documents without a label. Where there is none, no
     label is handed on, and each view learns from the labels alone.
     """
-    small_batches(docs.sparkSession)
     order = (F.xxhash64("doc_id", F.lit(3)), "doc_id")
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).where("doc_id IS NOT NULL AND quality IN (0, 1)").where(~held_out(F.col("doc_id"))).orderBy(*order).limit(LABELLED)
     known = saved(known, "quality-sample")
@@ -205,6 +204,5 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     their own; repeated rows are each returned. Other columns are not read. An empty
     table gives no rows.
     """
-    small_batches(docs.sparkSession)
     scored = _columns(docs).mapInArrow(_scored(model), "doc_id long, score double, text_score double, metadata_score double")
     return scored.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score", "text_score", "metadata_score", (F.col("score") >= 0.5).alias("kept"))
