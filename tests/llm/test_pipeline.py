@@ -38,3 +38,64 @@ def test_each_stage_takes_effect(spark, stages):
 def test_run_is_the_stages_in_turn(spark, stages):
     assert sorted(map(tuple, P.run(spark, SF).collect())) == sorted(map(tuple, stages[-1].collect()))
     assert [name for name, _ in P.STAGES] == ["toxicity", "near_duplicates", "benchmark", "mix", "tokens"]
+
+
+ROWS = [
+    (1, "alpha beta gamma delta epsilon zeta eta", "en", None, 3, "p"),
+    (1, "one two three four five six seven eight", "en", "s", 3, "p"),
+    (1, "one two three four five six seven eight", "en", "s", 3, "q"),
+    (2, "Alpha  beta gamma delta epsilon zeta eta", None, "s", None, "p"),
+    (3, None, None, None, None, None),
+    (4, "", "", "", 0, ""),
+    (None, "alpha beta gamma delta epsilon zeta eta", "en", "s", 1, "p"),
+    (5, "word " * 30_000, "en", "s", 150_000, "p"),
+]
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, component_id string"
+
+
+def test_near_duplicates_keep_differing_texts_of_an_id(spark):
+    for parts in (1, 5):
+        got = P.near_duplicates_stage(spark, spark.createDataFrame(ROWS, DOCS).repartition(parts), SF)
+        rows = sorted((tuple(r) for r in got.collect()), key=str)
+        assert got.columns == [c.split()[0] for c in DOCS.split(", ")]
+        assert [r[:2] for r in rows] == sorted(((r[0], r[1]) for k, r in enumerate(ROWS) if k not in (2, 3)), key=str)
+        one = [r for r in rows if r[1] and r[1].startswith("one")]
+        assert parts == 1 or one == before
+        before = one
+
+
+@pytest.mark.parametrize("name", [name for name, _ in P.STAGES])
+def test_stages_take_any_rows_and_none(spark, name):
+    stage = dict(P.STAGES)[name]
+    docs = spark.createDataFrame(ROWS, DOCS)
+    got = stage(spark, docs, SF)
+    assert name == "tokens" or got.columns == docs.columns
+    assert got.count() > 0
+    assert stage(spark, docs.limit(0), SF).count() == 0
+
+
+def test_settings_are_given_back(spark):
+    keys = ["spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.streaming.stateStore.providerClass", "spark.sql.classic.shuffleDependency.fileCleanup.enabled"]
+    before = [spark.conf.get(k, None) for k in keys]
+    for f in queries.queries().values():
+        f(spark, SF)
+        assert [spark.conf.get(k, None) for k in keys] == before
+
+
+def test_work_folders_are_shared_or_refused(spark, monkeypatch):
+    from chronogrid.llm import common
+
+    class Context:
+        master = "yarn"
+
+        def getConf(self):
+            return {}
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError):
+        common.work_dir(Session(), "t")
