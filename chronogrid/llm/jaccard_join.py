@@ -5,10 +5,21 @@ H = (1 - t) / (1 + t) * (r + s) elements. The universe of shingle hashes is cut
 segments; a pair that differs in at most H elements agrees on at least m - H of them.
 A set's subset in each non-empty segment is hashed to one signature. Sets are taken by
 size band (factor two), with one scheme inside a band and one across each border, so
-each scheme's m fits the sizes it serves. Where a set has so many empty segments that
-agreement could fall on empty ones alone, it also emits one-deletion neighbourhoods
-(small sets: their single shingles); m is chosen by the expected cost of both.
-Every agreement is a candidate only; links are decided on the shingle sets themselves.
+each scheme's m fits the sizes it serves.
+
+Allocation. A non-empty segment without deletions is worth one difference to a set: a
+pair that meets nowhere differs there by one element at least. A segment of two elements
+or more whose one-deletion neighbourhood is emitted as well is worth two. A set whose
+non-empty segments alone are not worth H + 1 emits the neighbourhoods of as many
+segments as it takes, in the order of the segments' numbers. So of two sets, the one that
+emits more has all neighbourhoods that the other counts on, and the other's worth of
+H + 1 says that they meet. Sets whose worth falls short even so emit their single
+elements too, of which similar sets share one. m is chosen by the expected cost of it all.
+No step of this rests on chance. Every agreement is a candidate only.
+
+Shingles are told apart by 64-bit hashes, in the sets as in the decision on a pair. That
+hashing errs on a pair of r and s shingles (calls two different shingles equal) has a
+chance of some (r + s)^2 / 2^65: under 10^-13 for a thousand shingles each.
 """
 
 from __future__ import annotations
@@ -29,10 +40,8 @@ from .shingles import shingle_sets
 SKETCH = 256
 #: Signatures' rows that are looked at together; a centre with more is split.
 TOGETHER = 50_000
-#: Two sets with too many empty segments still agree within one deletion somewhere as long as
-#: their empty segments are under m - H / 2 on average. From this size on, hashing breaks that
-#: with a chance under 1e-12; the schemes below emit single shingles in place of neighbourhoods.
-SMALL = 64
+#: Sets of one signature that are compared in one task; more are cut into blocks, and pairs of blocks are dealt out.
+HOT = 16_384
 _SALTS = mix64(np.arange(1, 9, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -46,25 +55,37 @@ def _most(n, top, num: int, den: int):
 def segments(low: int, high: int, top: int, num: int, den: int) -> int:
     """m of least expected cost for sizes low..high whose partners have at most ``top`` elements.
 
-    Cost of a size: its non-empty segments, and for the chance of having too few of
-    them, the neighbourhoods as well.
+    Cost of a size: its non-empty segments, the neighbourhoods that make up for the
+    segments it may lack, and its elements if these don't either.
     """
     n = np.unique(np.linspace(low, high, 16).astype(np.int64)).astype(float)
     need = _most(n.astype(np.int64), top, num, den) + 1.0
     best = (math.inf, 1)
-    m = int(need.max())
+    m = max(1, int(need.max()) // 2)
     while m <= 4 * need.max() + 4:
         filled = m * (1 - (1 - 1 / m) ** n) if m > 1 else np.minimum(n, 1.0)
         spread = np.sqrt(np.maximum(filled * (1 - filled / m), 1e-9))
-        short = np.array([0.5 * math.erfc((f - k + 0.5) / (s * math.sqrt(2))) for f, k, s in zip(filled, need, spread, strict=True)])
-        cost = float((filled + short * (filled + n)).sum())
+        single = np.minimum(filled, n * (1 - 1 / m) ** (n - 1) if m > 1 else (n == 1).astype(float))
+        double = np.maximum(filled - single, 1e-9)
+        cost = float((filled + _beyond(need, filled, spread) * (n - single) / double + _over(need, filled + double, spread) * n).sum())
         if cost < best[0]:
             best = (cost, m)
         m += max(1, m // 100)
     return best[1]
 
 
-def _emit(h: np.ndarray, doc: np.ndarray, n: np.ndarray, m: np.ndarray, need: np.ndarray, salt: np.ndarray, small: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _over(bound: np.ndarray, mean: np.ndarray, spread: np.ndarray) -> np.ndarray:
+    """Chance that a normal variable is under ``bound``."""
+    return np.array([0.5 * math.erfc((f - k + 0.5) / (s * math.sqrt(2))) for f, k, s in zip(mean, bound, spread, strict=True)])
+
+
+def _beyond(bound: np.ndarray, mean: np.ndarray, spread: np.ndarray) -> np.ndarray:
+    """Mean of what a normal variable lacks of ``bound``."""
+    z = (bound - mean) / spread
+    return (bound - mean) * _over(bound, mean, spread) + spread * np.exp(-z * z / 2) / math.sqrt(2 * math.pi)
+
+
+def _emit(h: np.ndarray, doc: np.ndarray, n: np.ndarray, m: np.ndarray, need: np.ndarray, salt: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Signatures of sets under one scheme. h: hashes sorted within doc; the rest by document."""
     segment = ((h >> np.uint64(32)) * m[doc] >> np.uint64(32)).astype(np.uint64)
     fresh = np.ones(len(h), bool)
@@ -74,19 +95,19 @@ def _emit(h: np.ndarray, doc: np.ndarray, n: np.ndarray, m: np.ndarray, need: np
     total = np.add.reduceat(value, first)
     own, tag = doc[first], mix64(segment[first] * _SALTS[1] + salt[doc[first]])
     out, owner = [mix64(total ^ tag)], [own]
-    short = np.bincount(own, minlength=len(n)) < need
-    if short.any():
-        tiny = short & small
-        which = tiny[doc]
-        out.append(mix64(value[which] + mix64(salt[doc[which]] ^ _SALTS[2])))
-        owner.append(doc[which])
-        which = (short & ~tiny)[own]
-        out.append(mix64(total[which] ^ mix64(tag[which] ^ _SALTS[3])))
-        owner.append(own[which])
-        at = np.cumsum(fresh) - 1
+    lacks = need - np.bincount(own, minlength=len(n))
+    if (lacks > 0).any():
         size = np.diff(np.append(first, len(h)))
-        which = (short & ~tiny)[doc] & (size[at] > 1)
-        out.append(mix64((total[at[which]] - value[which]) ^ mix64(tag[at[which]] ^ _SALTS[3])))
+        double = size > 1
+        seen = np.cumsum(double) - double  # segments of two elements or more before this one, over all sets
+        heads = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+        before = seen - np.repeat(seen[heads], np.diff(np.append(heads, len(own))))
+        at = np.cumsum(fresh) - 1
+        which = (double & (before < lacks[own]))[at]
+        out.append(mix64((total[at[which]] - value[which]) ^ tag[at[which]]))
+        owner.append(doc[which])
+        which = (np.bincount(own, double, len(n)) < lacks)[doc]
+        out.append(mix64(value[which] + mix64(salt[doc[which]] ^ _SALTS[2])))
         owner.append(doc[which])
     return np.concatenate(out), np.concatenate(owner)
 
@@ -111,8 +132,7 @@ def signatures(h: np.ndarray, bounds: np.ndarray, num: int, den: int) -> tuple[n
             need[here] = _most(n[here], highest(int(b), n[here]), num, den) + 1
         take = which[doc]
         salt = mix64(border.astype(np.uint64) * _SALTS[4] + _SALTS[5 + kind])
-        small = border <= SMALL if kind else border < SMALL  # of a whole scheme, so that both sets of a pair do the same
-        found.append(_emit(h[take], doc[take], np.where(which, n, 0), m, need, salt, small))
+        found.append(_emit(h[take], doc[take], np.where(which, n, 0), m, np.where(which, need, 0), salt))
 
     some = n > 0
     scheme(0, some, low, lambda b: (b, 2 * b - 1, 2 * b - 1), lambda b, x: 2 * b - 1)
@@ -276,8 +296,8 @@ class _Family:
             self.folds[words] = fold
         return self.folds[words]
 
-    def pairs(self, ids: np.ndarray, comp: np.ndarray, block: int = 1024) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Open pairs of different components; a pair that was tested under an earlier signature is not told again."""
+    def pairs(self, ids: np.ndarray, comp: np.ndarray, side: np.ndarray, block: int = 1024) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Open pairs of different components, and of different sides where sets have one (not -1); a pair that was tested under an earlier signature is not told again."""
         if self.tested is None and len(self.sizes) <= 16384:
             self.tested = np.zeros((len(self.sizes), len(self.sizes)), bool)
         at = np.array([self.place[int(i)] for i in ids])
@@ -286,7 +306,7 @@ class _Family:
         for i in range(0, len(ids), block):
             for j in range(i, len(ids), block):
                 a, b = slice(i, i + block), slice(j, j + block)
-                open_ = comp[a, None] != comp[None, b]
+                open_ = (comp[a, None] != comp[None, b]) & ((side[a, None] < 0) | (side[a, None] != side[None, b]))
                 open_ &= den * np.minimum(size[a, None], size[None, b]) >= num * np.maximum(size[a, None], size[None, b])
                 if i == j:
                     open_ &= np.tri(len(at[a]), k=-1, dtype=bool).T
@@ -309,22 +329,24 @@ class _Family:
 
 
 def _across(num: int, den: int):
-    """Of rows (centre, part, sig, id, component, size, sketch), sorted, maps (null sig) before memberships: open pairs of two components under one signature."""
+    """Of rows (centre, part, sig, id, component, side, size, sketch), sorted, maps (null sig) before memberships: open pairs of two components under one signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = sig = family = None
         ids: list[int] = []
         comp: list[int] = []
+        side: list[int] = []
 
         def closed():
             if len(ids) > 1 and min(comp) != max(comp):
-                for x, y in family.pairs(np.array(ids), np.array(comp)):
+                for x, y in family.pairs(np.array(ids), np.array(comp), np.array(side)):
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
             ids.clear()
             comp.clear()
+            side.clear()
 
         for b in batches:
-            for centre, part, s, doc, c, size, sketch in zip(*(x.to_pylist() for x in b.columns), strict=True):
+            for centre, part, s, doc, c, half, size, sketch in zip(*(x.to_pylist() for x in b.columns), strict=True):
                 if (centre, part) != key or s != sig:
                     yield from closed()
                     if (centre, part) != key:
@@ -335,6 +357,7 @@ def _across(num: int, den: int):
                 else:
                     ids.append(doc)
                     comp.append(c)
+                    side.append(half)
         yield from closed()
 
     return run
@@ -359,7 +382,8 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     (words split at bytes 09-0D and 20, A-Z lower-cased) is at least num/den;
     component_id is the smallest id reachable by links. No candidate is capped or
     dropped, so every link that joins two components is found. Similarity is decided on
-    64-bit shingle hashes.
+    64-bit shingle hashes, whose bound of error the module states. A signature that a
+    great part of the sets share is compared block by block, in many tasks.
 
     Null or empty texts, and texts of white space, have no shingles and link with nothing.
     Texts of fewer words are one shingle. Rows that share an id are one document and so
@@ -395,15 +419,25 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # Then, under each signature, whatever pairs the components leave open.
     placed = shared.distinct().join(comp.withColumnRenamed("node", "id"), "id", "left").select("centre", "sig", "id", F.coalesce("component", "id").alias("component"))
     placed = saved(placed, "placed")
-    mixed = placed.groupBy("sig").agg(F.min("component").alias("p"), F.max("component").alias("q")).where("p < q").select("sig")
-    mixed = saved(placed.join(mixed, "sig", "left_semi"), "mixed")
+    mixed = placed.groupBy("sig").agg(F.min("component").alias("p"), F.max("component").alias("q"), F.count("*").alias("sets")).where("p < q").select("sig", "sets")
+    mixed = saved(placed.join(mixed, "sig"), "mixed")
+    usual, hot = mixed.where(F.col("sets") <= HOT), mixed.where(F.col("sets") > HOT)
     # Signatures of one centre are looked at together, for their pairs are mostly the same;
     # a centre of many rows is split by signature. Each part gets its sets' maps once.
     # Centres to split are few: at most one for TOGETHER rows.
-    split = saved(mixed.groupBy("centre").agg(F.ceil(F.count("*") / TOGETHER).alias("parts")).where("parts > 1"), "split")
-    members = saved(mixed.join(split, "centre", "left").withColumn("part", F.pmod(F.xxhash64("sig"), F.coalesce("parts", F.lit(1)))).select("centre", "part", "sig", "id", "component"), "members")
-    maps = members.select("centre", "part", "id").distinct().join(profile, "id").select("centre", "part", F.lit(None).cast("long").alias("sig"), "id", F.lit(None).cast("long").alias("component"), "n", "sketch")
-    rows = members.select("*", F.lit(None).cast("long").alias("n"), F.lit(None).cast("binary").alias("sketch")).unionByName(maps)
+    split = saved(usual.groupBy("centre").agg(F.ceil(F.count("*") / TOGETHER).alias("parts")).where("parts > 1"), "split")
+    usual = usual.join(split, "centre", "left").withColumn("part", F.pmod(F.xxhash64("sig"), F.coalesce("parts", F.lit(1)))).withColumn("side", F.lit(-1))
+    # The sets of a signature that very many have are cut into blocks; a task compares two of them, or one with itself.
+    blocks = F.ceil(F.col("sets") * 2 / HOT)
+    dealt = hot.withColumn("block", F.pmod(F.xxhash64("id"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    low, high = F.least("block", "other"), F.greatest("block", "other")
+    side = F.when(low == high, -1).otherwise((F.col("block") == high).cast("int"))
+    dealt = dealt.withColumn("part", F.xxhash64("sig", low, high)).withColumn("side", side)
+    columns = ["centre", "part", "sig", "id", "component", "side"]
+    members = saved(usual.select(*columns).unionByName(dealt.select(*columns)), "members")
+    none = F.lit(None)
+    maps = members.select("centre", "part", "id").distinct().join(profile, "id").select("centre", "part", none.cast("long").alias("sig"), "id", none.cast("long").alias("component"), none.cast("int").alias("side"), "n", "sketch")
+    rows = members.select("*", none.cast("long").alias("n"), none.cast("binary").alias("sketch")).unionByName(maps)
     left = rows.repartition(parts, "centre", "part").sortWithinPartitions("centre", "part", F.col("sig").asc_nulls_first(), "id")
     second = _links(left.mapInArrow(_across(num, den), "a long, b long").distinct(), base, words, num, den)
     comp = saved(components(first.unionByName(second)), "components")

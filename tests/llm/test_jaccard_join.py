@@ -117,3 +117,57 @@ def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + k) for k in range(1, 50)] + [(7, 7), (None, 3)]
     got = dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long")).collect()))
     assert got == {i: 0 for i in range(41)} | {100 + k: 100 for k in range(50)}
+
+
+@pytest.mark.parametrize("share", [0.3, 0.5, 0.7, 0.85, 1.0, 1.3])
+def test_no_similar_pair_is_left_to_chance(share, monkeypatch):
+    """Elements crowded into few segments and few segments for the need: every similar pair meets all the same."""
+    monkeypatch.setattr(J, "segments", lambda low, high, top, num, den: max(1, int(share * (J._most(low, top, num, den) + 1))))
+    rng = np.random.default_rng(int(100 * share))
+    met = 0
+    for trial in range(600):
+        size = int(rng.integers(1, 150))
+        crowd = rng.integers(0, 1 << 64, 6, dtype=np.uint64) >> np.uint64(6) << np.uint64(6) if trial % 2 else None
+        draw = lambda k: rng.integers(0, 1 << 64, k, dtype=np.uint64) if crowd is None else crowd[rng.integers(0, 6, k)] + rng.integers(0, 1 << 30, k, dtype=np.uint64)  # noqa: E731, B023
+        x = np.unique(draw(size))
+        gone = int(rng.integers(0, max(1, len(x) // 4) + 1))
+        y = np.unique(np.concatenate([rng.permutation(x)[gone:], draw(int(rng.integers(0, max(1, len(x) // 4) + 1)))]))
+        inter = len(np.intersect1d(x, y))
+        if not inter or 4 * inter < 3 * (len(x) + len(y) - inter):
+            continue
+        met += 1
+        sig, own = J.signatures(np.concatenate([x, y]), np.array([0, len(x), len(x) + len(y)]), 3, 4)
+        assert set(sig[own == 0]) & set(sig[own == 1]), (trial, len(x), len(y), inter)
+    assert met > 200
+
+
+def test_deletions_are_allocated_to_as_many_segments_as_it_takes():
+    """A set's emitted deletions make its worth reach its need, and no more segments have them than that takes."""
+    rng = np.random.default_rng(8)
+    for _ in range(200):
+        n, m = int(rng.integers(2, 60)), int(rng.integers(2, 30))
+        h = np.unique(rng.integers(0, 1 << 64, n, dtype=np.uint64))
+        need = int(rng.integers(1, 2 * m))
+        sig, _ = J._emit(h, np.zeros(len(h), int), np.array([len(h)]), np.array([m], np.uint64), np.array([need]), np.zeros(1, np.uint64))
+        sizes = np.bincount(((h >> np.uint64(32)).astype(object) * m >> 32).astype(int), minlength=m)
+        filled = int((sizes > 0).sum())
+        doubles = [int(k) for k in sizes if k > 1]
+        want = filled + sum(doubles[: max(0, need - filled)]) + (len(h) if need - filled > len(doubles) else 0)
+        assert len(sig) == want
+
+
+@pytest.mark.parametrize("hot", [4, 30])
+def test_hot_signatures_against_brute_force(spark, words, hot, monkeypatch):
+    """A passage that most documents share, in components of many kinds: signatures are cut into pairs of blocks."""
+    monkeypatch.setattr(J, "HOT", hot)
+    rng = random.Random(hot)
+    passage = [rng.choice(words) for _ in range(40)]
+    rows = []
+    for i in range(150):
+        own = [rng.choice(words) for _ in range(rng.randint(0, 14))]
+        w = passage[: rng.choice([40, 40, 34])] + own
+        for _ in range(rng.randint(0, 2)):
+            w[rng.randrange(len(w))] = rng.choice(words)
+        rows.append((i, " ".join(w)))
+    got = sorted(map(tuple, J.jaccard_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()))
+    assert got == brute(rows)
