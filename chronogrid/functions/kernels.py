@@ -7,6 +7,7 @@ Grouped operators in ``operators.tracks`` run them, one track a group.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from typing import NamedTuple
 
 import numpy as np
@@ -20,16 +21,26 @@ HARMONICS, MOST_FRET, STRINGS = 8, 19, 6
 TIE, TIE_SHARE = 1e-3, 1e-5
 
 
+def within(times: np.ndarray, at: int, anchor, window) -> int:
+    """First place from ``at`` on whose time is more than ``window`` after ``anchor``; times do not fall. Looks little farther than that place."""
+    width = 32
+    while True:
+        part = times[at : at + width] - anchor
+        k = int(np.searchsorted(part, window, side="right"))
+        if k < len(part) or at + width >= len(times):
+            return at + k
+        at, width = at + k, 4 * width
+
+
 def group_starts(times: np.ndarray, window: float) -> np.ndarray:
     """Time of the first row of each row's group; a row later than ``window`` after it begins the next."""
     out = np.array(times, float)
     if window <= 0:
         return out
-    at = 0
+    times, at = out.copy(), 0
     while at < len(out):
-        stop = at + int(np.searchsorted(out[at:] - out[at], window, side="right"))
-        stop = max(stop, at + 1)
-        out[at:stop] = out[at]
+        stop = max(at + 1, within(times, at, times[at], window))
+        out[at:stop] = times[at]
         at = stop
     return out
 
@@ -40,9 +51,11 @@ def align(times, pitches, other_times, other_pitches, tolerance: float = 2.0, ga
     Equal pitches within ``tolerance`` earn 1 - distance / tolerance; an event left out
     costs ``gap``. The first list is ordered by chord group and pitch, the other by time
     and pitch. Scores are kept less the gaps that lead to a cell, so that leaving out
-    costs nothing and one running maximum finishes a row; only each cell's move is kept
-    (a byte), not its score. Among moves within TIE, a match goes before leaving out the
-    first list's event, that before the other's.
+    costs nothing and a row of scores never falls: a step changes the cells in reach of
+    its event, and those after them that are lower. Every so many rows one is kept; the
+    way back makes the rows between anew, block by block, so memory is that of some
+    2 sqrt(n) rows. Among moves within TIE, a match goes before leaving out the first
+    list's event, that before the other's.
     """
     times, other_times = np.asarray(times, float), np.asarray(other_times, float)
     pitches, other_pitches = np.asarray(pitches), np.asarray(other_pitches)
@@ -52,50 +65,86 @@ def align(times, pitches, other_times, other_pitches, tolerance: float = 2.0, ga
     mine = np.lexsort((np.arange(n), pitches, group_starts(times, chord)))
     theirs = np.lexsort((np.arange(m), other_pitches, other_times))
     t, p = other_times[theirs], other_pitches[theirs]
-    moves = np.zeros((n, m), np.uint8)
-    row = np.zeros(m + 1)
-    index = np.arange(1, m + 1)
+    margin = 1e-9 * (1 + abs(tolerance) + max(np.abs(t).max(), np.abs(times).max()))  # reach is told by the distance itself
+    first = np.searchsorted(t, times - tolerance - margin, side="left")
+    last = np.searchsorted(t, times + tolerance + margin, side="right")
+
+    def rewards(k: int, lo: int, hi: int) -> np.ndarray:
+        apart = np.abs(t[lo:hi] - times[k])
+        with np.errstate(invalid="ignore", divide="ignore"):
+            return np.where((p[lo:hi] == pitches[k]) & (apart <= tolerance), 1 - apart / tolerance, -np.inf)
+
+    def step(row: np.ndarray, k: int) -> None:
+        lo, hi = int(first[k]), int(last[k])
+        if lo < hi:
+            new = np.maximum(row[lo:hi] + rewards(k, lo, hi) - 2 * gap, row[lo + 1 : hi + 1])
+            np.maximum.accumulate(new, out=new)
+            row[lo + 1 : hi + 1] = new
+            lower = hi + 1 + int(np.searchsorted(row[hi + 1 :], new[-1], side="left"))
+            row[hi + 1 : lower] = new[-1]
+
+    block = max(1, int(np.sqrt(n)))
+    row, kept = np.zeros(m + 1), []
     for i, k in enumerate(mine):
-        apart = np.abs(t - times[k])
-        reward = np.where((p == pitches[k]) & (apart <= tolerance), 1 - apart / tolerance, -np.inf)
-        match, skip = row[:-1] + reward - 2 * gap, row[1:]
-        new = np.empty(m + 1)
-        new[0] = row[0]
-        np.maximum(match, skip, out=new[1:])
-        np.maximum.accumulate(new, out=new)
-        level = gap * (i + 1 + index)  # back to plain scores, whose size the relative tie is of
-        slack = lambda score: TIE + TIE_SHARE * np.abs(score)
-        is_skip = np.abs(new[1:] - skip) <= slack(skip + level)
-        found = np.isfinite(match)
-        is_match = found & (np.abs(new[1:] - np.where(found, match, 0)) <= slack(np.where(found, match, 0) + level))
-        moves[i] = np.where(is_match, 2, np.where(is_skip, 1, 0))
-        row = new
+        if i % block == 0:
+            kept.append(row.copy())
+        step(row, k)
+    slack = lambda score: TIE + TIE_SHARE * abs(score)
     out, i, j = {}, n - 1, m - 1
-    while i >= 0 and j >= 0:
-        move = moves[i, j]
-        if move == 2:
-            out[int(mine[i])] = int(theirs[j])
-        i, j = i - (move > 0), j - (move != 1)
+    for base in range((n - 1) // block * block, -1, -block):
+        rows = [kept.pop()]
+        for k in mine[base : min(base + block, n)]:
+            rows.append(rows[-1].copy())
+            step(rows[-1], k)
+        while i >= base and j >= 0:
+            k, before, score = mine[i], rows[i - base], rows[i - base + 1][j + 1]
+            level = gap * (i + j + 2)  # back to plain scores, whose size the relative tie is of
+            earned = float(rewards(k, j, j + 1)[0])
+            match = before[j] + earned - 2 * gap
+            if np.isfinite(earned) and abs(score - match) <= slack(match + level):
+                out[int(k)] = int(theirs[j])
+                i, j = i - 1, j - 1
+            elif abs(score - before[j + 1]) <= slack(before[j + 1] + level):
+                i -= 1
+            else:
+                j -= 1
     return out
 
 
+class _Held:
+    """Notes of one string in order of onset; tells whether a note meets one of them."""
+
+    def __init__(self):
+        self.onsets: list[float] = []
+        self.latest: list[float] = []  # greatest offset up to each
+
+    def add(self, onset: float, offset: float) -> None:
+        self.onsets.append(onset)
+        self.latest.append(max(offset, self.latest[-1]) if self.latest else offset)
+
+    def meets(self, onset: float, offset: float) -> bool:
+        before = bisect_left(self.onsets, offset)
+        return before > 0 and self.latest[before - 1] > onset
+
+
 def assign_strings(onsets, offsets, pitches, given, tuning: dict[int, int], most_fret: int = MOST_FRET) -> np.ndarray:
     """String of each note: the given one (>= 0), else in order of onset the lowest fret on a free string, else the lowest fret; -1 if no string can play it.
 
-    Given notes hold their strings from the start. Equal onsets keep their order.
+    Given notes hold their strings from the start. Equal onsets keep their order. Notes
+    come by onset, so a string's notes are searched by bisection.
     """
     out = np.asarray(given, int).copy()
-    held: dict[int, list[int]] = {}
-    for k in np.flatnonzero(out >= 0):
-        held.setdefault(int(out[k]), []).append(k)
-    for k in np.argsort(onsets, kind="stable"):
+    order = np.argsort(onsets, kind="stable")
+    held = {s: (_Held(), _Held()) for s in {*tuning, *out[out >= 0].tolist()}}  # given ones, and those placed here
+    for k in order[out[order] >= 0]:
+        held[int(out[k])][0].add(onsets[k], offsets[k])
+    for k in order:
         if out[k] >= 0:
             continue
         choices = sorted((int(pitches[k]) - open_, s) for s, open_ in tuning.items() if 0 <= pitches[k] - open_ <= most_fret)
-        free = [s for _, s in choices if all(onsets[k] >= offsets[h] or onsets[h] >= offsets[k] for h in held.get(s, ()))]
         if choices:
-            out[k] = free[0] if free else choices[0][1]
-            held.setdefault(int(out[k]), []).append(int(k))
+            out[k] = next((s for _, s in choices if not any(h.meets(onsets[k], offsets[k]) for h in held[s])), choices[0][1])
+            held[int(out[k])][1].add(onsets[k], offsets[k])
     return out
 
 

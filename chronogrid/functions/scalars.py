@@ -85,7 +85,8 @@ def clip(x, low, high) -> Column:
 
 def lenient_int(text) -> Column:
     """Whole part of a number in a text, 0 where there is none."""
-    return F.coalesce(F.expr("try_cast({} as double)".format(text) if isinstance(text, str) else "null").cast("long"), F.lit(0).cast("long"))
+    value = F.expr(text) if isinstance(text, str) else text
+    return F.coalesce(value.try_cast("double").cast("long"), F.lit(0).cast("long"))
 
 
 def overlaps(start, end, other_start, other_end) -> Column:

@@ -106,14 +106,24 @@ def padded(array, start, width: int, pad) -> Column:
     return F.concat(have, F.array_repeat(F.lit(pad), F.lit(width) - F.size(have)))
 
 
-def item_of(index: DataFrame, tracks: DataFrame, position: str, offset: str, size: str, carry) -> DataFrame:
+def item_of(index: DataFrame, tracks: DataFrame, position: str, offset: str, size: str, carry, cell: int = 1 << 16) -> DataFrame:
     """Track (columns ``carry``) and frame of positions in the tracks laid end to end.
 
-    Tracks are few beside frames; the range join is against their offsets.
+    The line of frames is cut into cells; a track has a row in each cell that it reaches
+    into. Inside a cell both sides are sorted once, and a position reads the last track
+    that begins before it: no range join, and nothing is broadcast. Positions outside
+    all tracks are left out; tracks do not overlap.
     """
-    t = tracks.select(*carry, F.col(offset).alias("__from"), (F.col(offset) + F.col(size)).alias("__to"))
-    hit = (F.col(position) >= F.col("__from")) & (F.col(position) < F.col("__to"))
-    return index.join(t, hit).withColumn("frame", F.col(position) - F.col("__from")).drop("__from", "__to")
+    start, stop = F.col(offset).cast("long"), (F.col(offset) + F.col(size)).cast("long")
+    at = lambda c: F.floor(c / F.lit(cell)).cast("long")
+    held = F.struct(start.alias("start"), stop.alias("stop"), *[F.col(c) for c in carry])
+    laid = tracks.where(F.col(size) > 0).select(held.alias("__track"), F.explode(F.sequence(at(start), at(stop - 1))).alias("__cell"))
+    laid = laid.withColumn("__at", F.col("__track.start"))
+    asked = index.withColumn("__at", F.col(position).cast("long")).withColumn("__cell", at(F.col("__at"))).withColumn("__asked", F.lit(1))
+    both = asked.unionByName(laid, allowMissingColumns=True)
+    w = Window.partitionBy("__cell").orderBy("__at", F.col("__asked").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    found = both.withColumn("__track", F.last("__track", ignorenulls=True).over(w)).where("__asked = 1 AND __at < __track.stop")
+    return found.select(*index.columns, *[F.col(f"__track.{c}").alias(c) for c in carry], (F.col("__at") - F.col("__track.start")).alias("frame"))
 
 
 def translate(frames: DataFrame, keys, by: int, n_frames) -> DataFrame:

@@ -15,6 +15,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions.kernels import within
+
 
 def _window(keys: Sequence[str], order: Sequence[str | Column]):
     return Window.partitionBy(*keys).orderBy(*order)
@@ -52,24 +54,40 @@ def gap_clusters(df: DataFrame, keys, order, time: str, gap, out: str = "cluster
     return _numbered(df, keys, order, starts, out)
 
 
+def _changes(columns: list[pa.Array]) -> np.ndarray:
+    """Rows at which any of the columns differs from the row before; null is a value."""
+    out = np.zeros(len(columns[0]) if columns else 0, bool)
+    for c in columns:
+        codes = c.dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+        out[1:] |= codes[1:] != codes[:-1]
+    return np.flatnonzero(out)
+
+
 def _anchors(keys: int, gap: float):
     """Rows (keys..., time, ...) sorted -> the same with the time of their group's first row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = anchor = None
         for batch in batches:
+            if not batch.num_rows:
+                continue
             time = batch.column(keys).to_numpy(zero_copy_only=False)
-            marks = list(zip(*(batch.column(k).to_pylist() for k in range(keys)), strict=True)) if keys else [()] * len(time)
             out = np.empty(len(time), time.dtype)
-            i = 0
-            while i < len(time):
-                if marks[i] != key or anchor is None or time[i] - anchor > gap:
-                    key, anchor = marks[i], time[i]
-                j = i
-                while j < len(time) and marks[j] == key and time[j] - anchor <= gap:
-                    j += 1
-                out[i:j] = anchor
-                i = j
+            cuts = [0, *_changes([batch.column(k) for k in range(keys)]).tolist(), len(time)]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                mine, at = tuple(batch.column(k)[a].as_py() for k in range(keys)), a
+                rising = bool((time[a + 1 : b] >= time[a : b - 1]).all())
+                if mine != key:
+                    key, anchor = mine, None
+                while at < b:
+                    if anchor is None or time[at] - anchor > gap:
+                        anchor = time[at]
+                    if rising:
+                        stop = max(at + 1, within(time[:b], at, anchor, gap))
+                    else:
+                        stop = at + 1
+                    out[at:stop] = anchor
+                    at = stop
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, batch.column(keys).type)], [*batch.schema.names, "__anchor"])
 
     return run
@@ -145,10 +163,32 @@ def max_plus_scan(df: DataFrame, keys, order, value: str, step: float, out: str
     return ranked.withColumn(out, run + F.col("__n")).drop("__n")
 
 
-def offsets(df: DataFrame, order, size: str, keys=(), out: str = "offset") -> DataFrame:
-    """Sum of the sizes of all rows before. Without keys it is for catalogues, whose rows meet in one task."""
-    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return df.withColumn(out, F.coalesce(F.sum(size).over(w), F.lit(0)).cast("long"))
+def offsets(df: DataFrame, order, size: str, keys=(), out: str = "offset", bucket: Column | None = None) -> DataFrame:
+    """Sum of the sizes of all rows before.
+
+    With ``bucket``, a value that never falls along the order, sums are made in two
+    levels: inside each bucket, and over the buckets' totals, of which alone all meet in
+    one task. Without keys and bucket it is for small catalogues, whose rows meet in one
+    task.
+    """
+    before = lambda *parts: Window.partitionBy(*parts)
+    rows = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    if bucket is None:
+        return df.withColumn(out, F.coalesce(F.sum(size).over(rows(before(*keys).orderBy(*order))), F.lit(0)).cast("long"))
+    dealt = df.withColumn("__bucket", bucket)
+    totals = dealt.groupBy(*keys, "__bucket").agg(F.sum(size).alias("__sum"))
+    bases = totals.select(*keys, F.col("__bucket").alias("__of"), F.coalesce(F.sum("__sum").over(rows(before(*keys).orderBy("__bucket"))), F.lit(0)).alias("__base"))
+    inside = F.coalesce(F.sum(size).over(rows(before(*keys, "__bucket").orderBy(*order))), F.lit(0))
+    held = dealt.withColumn("__inside", inside)
+    joined = held.join(bases.select(*[F.col(k).alias(f"__{k}") for k in keys], "__of", "__base"), _same(keys), "left")
+    return joined.withColumn(out, (F.col("__base") + F.col("__inside")).cast("long")).drop("__bucket", "__of", "__base", "__inside", *[f"__{k}" for k in keys])
+
+
+def _same(keys) -> Column:
+    on = F.col("__bucket").eqNullSafe(F.col("__of"))
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    return on
 
 
 def tempo_sections(changes: DataFrame, keys, tick: str, bpm: str, ticks_per_beat: int, default_bpm: float = 120.0) -> DataFrame:

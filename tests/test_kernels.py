@@ -162,3 +162,46 @@ def test_grouped_operators(spark, late):
     moves = spark.createDataFrame([("a", 5, 3)], "stem string, frame long, target long")
     moved = T.move_starts(frames, moves, ["stem"]).orderBy("frame").collect()
     assert [r.frame for r in moved if r.onset] == [3] and moved[0].moved == 1
+
+
+def test_strings_against_every_note_that_was_held():
+    """The definition, with each note held against all notes that its string ever held."""
+    rng = np.random.default_rng(5)
+    tuning = dict(enumerate((40, 45, 50, 55, 59, 64)))
+    for _ in range(300):
+        n = int(rng.integers(0, 40))
+        onset = np.round(rng.uniform(0, 5, n), 1)
+        offset = onset + np.round(rng.uniform(-0.2, 2, n), 1)
+        pitch, given = rng.integers(30, 95, n), np.where(rng.random(n) < 0.3, rng.integers(0, 7, n), -1)
+        want, held = given.copy(), {}
+        for k in np.flatnonzero(given >= 0):
+            held.setdefault(int(given[k]), []).append(k)
+        for k in np.argsort(onset, kind="stable"):
+            frets = sorted((pitch[k] - o, s) for s, o in tuning.items() if 0 <= pitch[k] - o <= K.MOST_FRET)
+            free = [s for _, s in frets if all(onset[k] >= offset[h] or onset[h] >= offset[k] for h in held.get(s, []))]
+            if given[k] < 0 and frets:
+                want[k] = free[0] if free else frets[0][1]
+                held.setdefault(int(want[k]), []).append(k)
+        assert K.assign_strings(onset, offset, pitch, given, tuning).tolist() == want.tolist()
+
+
+def test_long_alignment_in_little_memory():
+    import tracemalloc
+
+    rng = np.random.default_rng(6)
+    n = 6000
+    t, p = np.sort(rng.uniform(0, 3000, n)), rng.integers(40, 80, n)
+    tracemalloc.start()
+    found = K.align(t, p, t + rng.normal(0, 0.01, n), p)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < n * n // 2 and sum(i == j for i, j in found.items()) > 0.8 * n  # a byte a cell would be n * n
+
+
+def test_groups_of_a_long_list():
+    t = np.sort(np.random.default_rng(2).uniform(0, 1000, 20_000))
+    want, anchor = [], None
+    for x in t:
+        anchor = x if anchor is None or x - anchor > 0.3 else anchor
+        want.append(anchor)
+    assert K.group_starts(t, 0.3).tolist() == want

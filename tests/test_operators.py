@@ -1,5 +1,7 @@
 """Operators on the literal cases that define them."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -143,3 +145,51 @@ def test_nulls_and_empty_tables(spark):
     none = df.limit(0)
     for out in (S.gap_clusters(none, ["k"], ["i"], "t", 1.0), S.anchored_groups(none, ["k"], ["i"], "t", 1.0), S.trailing_run(none, ["k"], ["i"], F.col("t") > 1), A.mode_first_seen(none, ["k"], "v", ["i"])):
         assert out.collect() == []
+
+
+def test_anchored_groups_of_many_keys_and_falling_times(spark):
+    rng = random.Random(4)
+    rows = [(k % 7 if k % 11 else None, k, float(rng.randrange(200)) / 10) for k in range(600)]
+    df = spark.createDataFrame(rows, "g int, idx long, time double").repartition(3)
+    for order in (["time", "idx"], ["idx"]):
+        got = {r.idx: r.anchor for r in S.anchored_groups(df, ["g"], order, "time", 0.45).collect()}
+        want = {}
+        for g in {r[0] for r in rows}:
+            anchor = None
+            for _, idx, time in sorted((r for r in rows if r[0] == g), key=lambda r: (r[2], r[1]) if order[0] == "time" else r[1]):
+                anchor = time if anchor is None or time - anchor > 0.45 else anchor
+                want[idx] = anchor
+        assert got == want
+
+
+def test_positions_in_tracks_that_reach_over_many_cells(spark):
+    tracks = [("a", 0, 10), ("b", 10, 0), ("c", 10, 300), ("d", 310, 1), ("e", 311, 64)]
+    asked = [(k, p) for k, p in enumerate([-1, 0, 9, 10, 309, 310, 311, 374, 375, 9, 64, 128, 10**12])]
+    index = spark.createDataFrame(asked, "k long, position long")
+    t = spark.createDataFrame(tracks, "stem string, from long, n long")
+    for cell in (1, 16, 64, 1 << 16):
+        got = sorted((r.k, r.stem, r.frame) for r in G.item_of(index, t, "position", "from", "n", ["stem"], cell).collect())
+        assert got == sorted((k, s, p - a) for k, p in asked for s, a, n in tracks if a <= p < a + n)
+
+
+def test_offsets_in_two_levels(spark):
+    rows = [(k, (k * 37) % 11, "x" if k % 2 else None) for k in range(200)]
+    df = spark.createDataFrame(rows, "k long, size long, g string").repartition(4)
+    for keys in ([], ["g"]):
+        one = sorted(map(tuple, S.offsets(df, ["k"], "size", keys).select("k", "offset").collect()))
+        two = sorted(map(tuple, S.offsets(df, ["k"], "size", keys, bucket=F.floor(F.col("k") / 16)).select("k", "offset").collect()))
+        assert one == two and len(one) == 200
+
+
+def test_unknown_group_of_folds_ends_the_job(spark):
+    df = spark.createDataFrame([(0,), (7,), (None,)], "g int")
+    assert P.folds(df.where("g = 0"), F.col("g"), 6).count() == 6
+    for bad in ("g = 7", "g IS NULL"):
+        with pytest.raises(Exception, match="unknown group"):
+            P.folds(df.where(bad), F.col("g"), 6).collect()
+
+
+def test_lenient_int_of_columns_and_expressions(spark):
+    df = spark.createDataFrame([("42",), (" 7.9",), ("x",), (None,)], "a string")
+    for c in ("a", F.col("a")):
+        assert [r[0] for r in df.select(X.lenient_int(c)).collect()] == [42, 7, 0, 0]
