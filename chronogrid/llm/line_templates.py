@@ -16,6 +16,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -31,45 +32,56 @@ _DIGIT = re.compile(r"\d")
 
 def masked(line: str) -> list[str]:
     """Tokens of a line, those with a digit as a variable field."""
-    return [FIELD if _DIGIT.search(t) else t for t in line.split()]
+    tokens = line.split()
+    return [FIELD if _DIGIT.search(t) else t for t in tokens] if _DIGIT.search(line) else tokens
 
 
-def _hash(text: str) -> int:
-    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+def _hash(text: str) -> bytes:
+    return hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest()
 
 
-def leaf(tokens: list[str], depth: int = DEPTH) -> int:
+def leaf(tokens: list[str], depth: int = DEPTH) -> bytes:
     return _hash("\n".join([str(len(tokens)), *tokens[:depth]]))
 
 
-def _placed(depth: int, texts: bool):
-    """Rows (key, text) -> (key, number, leaf, line, several) of lines with tokens; with ``texts`` the distinct (leaf, line, tokens) of a batch.
+def _numbers(digests: list[bytes]) -> pa.Array:
+    return pa.array(np.frombuffer(b"".join(digests), "<i8"))
 
-    ``several``: the text has other lines too in the leaf.
-    """
+
+def _placed(depth: int):
+    """Rows (key, text) -> (key, number, leaf, line, several) of lines with tokens. ``several``: the text has other lines too in the leaf."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, seen = [], {}
+            keys, numbers, leaves, lines, more = [], [], [], [], []
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                places, first, several = [], {}, set()
+                first, several, begin = {}, set(), len(leaves)
                 for number, line in enumerate((text or "").split("\n")):
                     if tokens := masked(line):
-                        mark = _hash(" ".join(tokens))
-                        if texts:
-                            seen.setdefault(mark, (leaf(tokens, depth), mark, tokens))
-                        else:
-                            at = leaf(tokens, depth)
-                            if first.setdefault(at, mark) != mark:
-                                several.add(at)
-                            places.append((number, at, mark))
-                rows += [(key, *p, p[1] in several) for p in places]
-            if texts:
-                rows = list(seen.values())
-                kinds, names = (pa.int64(), pa.int64(), pa.list_(pa.string())), ["leaf", "line", "tokens"]
-            else:
-                kinds, names = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.bool_()), ["key", "number", "leaf", "line", "several"]
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names)
+                        at, mark = leaf(tokens, depth), _hash(" ".join(tokens))
+                        if first.setdefault(at, mark) != mark:
+                            several.add(at)
+                        numbers.append(number)
+                        leaves.append(at)
+                        lines.append(mark)
+                keys += [key] * (len(leaves) - begin)
+                more += [at in several for at in leaves[begin:]] if several else [False] * (len(leaves) - begin)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(numbers, pa.int32()), _numbers(leaves), _numbers(lines), pa.array(more, pa.bool_())], ["key", "number", "leaf", "line", "several"])
+
+    return run
+
+
+def _told(depth: int):
+    """Rows (key, text) -> the distinct (leaf, line, tokens) of a batch, tokens with a space between: none holds one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen: dict[str, bytes] = {}
+            for text in batch.column(1).to_pylist():
+                for line in (text or "").split("\n"):
+                    if (tokens := masked(line)) and (joined := " ".join(tokens)) not in seen:
+                        seen[joined] = leaf(tokens, depth)
+            yield pa.RecordBatch.from_arrays([_numbers(list(seen.values())), _numbers([_hash(x) for x in seen]), pa.array(list(seen), pa.string())], ["leaf", "line", "tokens"])
 
     return run
 
@@ -87,13 +99,14 @@ def templates(keyed: DataFrame, depth: int = DEPTH, recurs: int = RECURS, consta
     have them: only documents with several lines in a leaf can be in a sum of the lines'
     documents twice, and what they add is taken off. A key has one text.
     """
-    lines = saved(keyed.mapInArrow(_placed(depth, False), "key long, number int, leaf long, line long, several boolean"), "lines")
+    lines = saved(keyed.mapInArrow(_placed(depth), "key long, number int, leaf long, line long, several boolean"), "lines")
     once = lines.select("key", "leaf", "line").distinct()
     counted = saved(once.groupBy("leaf", "line").agg(F.count("*").alias("documents")), "line-counts")
     # A leaf with fewer documents has no template that recurs. Texts are wanted of the others alone.
     hot = saved(lines.select("key", "leaf").distinct().groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= recurs).select("leaf"), "leaves")
-    texts = keyed.mapInArrow(_placed(depth, True), "leaf long, line long, tokens array<string>").join(hot, "leaf", "left_semi")
-    texts = saved(texts.groupBy("leaf", "line").agg(F.first("tokens").alias("tokens")).join(counted, ["leaf", "line"]), "line-texts")
+    texts = keyed.mapInArrow(_told(depth), "leaf long, line long, tokens string").join(hot, "leaf", "left_semi")
+    texts = texts.groupBy("leaf", "line").agg(F.first("tokens").alias("tokens")).join(counted, ["leaf", "line"])
+    texts = saved(texts.withColumn("tokens", F.split("tokens", " ", -1)), "line-texts")
     tokens = texts.select("leaf", "line", "documents", F.posexplode("tokens").alias("place", "token"))
     repeats = saved(lines.where("several").select("key", "leaf", "line").distinct().join(texts.select("leaf", "line", "tokens"), ["leaf", "line"]), "repeats")
     support = tokens.groupBy("leaf", "place", "token").agg(F.sum("documents").alias("support")).where(F.col("support") >= recurs).where(F.col("token") != FIELD)
