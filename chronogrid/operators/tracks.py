@@ -122,3 +122,22 @@ def block_levels(df: DataFrame, array: str, block: int, step: int, out: str = "l
     count = F.floor((F.size(array) - block) / step).cast("int")
     energy = lambda k: F.aggregate(F.slice(steps, k * step + 1, F.lit(block)), F.lit(0.0), lambda s, x: s + x * x)
     return df.withColumn(out, F.transform(F.sequence(F.lit(0), count), lambda k: 10.0 * F.log10(energy(k) + 1e-12)))
+
+
+def level_peaks(array, height: float):
+    """Places of local maxima of at least ``height`` in an array column; the middle (rounded down) of a level top, none at the ends. Array functions alone."""
+    x = F.transform(F.col(array) if isinstance(array, str) else array, lambda v: v.cast("double"))
+    first = F.struct(F.try_element_at(x, F.lit(1)).alias("last"), F.lit(0).alias("start"), F.lit(False).alias("risen"), F.lit(0).alias("at"), F.array().cast("array<int>").alias("found"))
+
+    def step(s, v):
+        top = s.risen & (v < s.last) & (s.last >= height)
+        middle = F.floor((s.start + s.at - 1) / 2).cast("int")
+        return F.struct(
+            v.alias("last"),
+            F.when(v == s.last, s.start).otherwise(s.at).alias("start"),
+            F.when(v == s.last, s.risen).otherwise(v > s.last).alias("risen"),
+            (s.at + 1).alias("at"),
+            F.when(top, F.concat(s.found, F.array(middle))).otherwise(s.found).alias("found"),
+        )
+
+    return F.aggregate(x, first, step, lambda s: s.found)

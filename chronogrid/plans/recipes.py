@@ -41,6 +41,13 @@ def contour_frames(jams: DataFrame, lengths: DataFrame, hop_seconds: float, nati
     return frames
 
 
+def reasons(stems: DataFrame, parts: dict[str, DataFrame], problems: DataFrame) -> DataFrame:
+    """(stem, reason) of all stems: the first part that is missing, else the first of its problems (stem, reason), else null."""
+    lacks = J.first_missing(stems, parts, ["stem"], "__lacks")
+    found = problems.groupBy("stem").agg(F.min("reason").alias("__problem"))
+    return lacks.join(found, "stem", "left").select("stem", F.when(F.col("__lacks").isNotNull(), F.concat(F.lit("missing "), "__lacks")).otherwise(F.col("__problem")).alias("reason"))
+
+
 def measures_agree(score: DataFrame, sync: DataFrame) -> DataFrame:
     """(stem, expected, performed, agrees): last synced measure against the last of the score, one off allowed; a track without sync points agrees."""
     have = score.groupBy("stem").agg((F.max("measure") + 1).alias("performed"))
@@ -88,12 +95,11 @@ def synced_score_frames(midi_files: DataFrame, score_files: DataFrame, sync_file
     be read, fewer than two sync points, or measures that disagree.
     """
     played, score, sync = midi.read_merged(midi_files), scores.read_musicxml(score_files), tables.sync_points(sync_files)
-    bad = played.where("reason IS NOT NULL").select("stem", "reason").unionByName(score.where("reason IS NOT NULL").select("stem", "reason"))
+    bad = played.where("reason IS NOT NULL").select("stem", "reason").unionByName(score.where("reason IS NOT NULL").select("stem", "reason")).unionByName(tables.json_problems(sync_files))
     played, score = played.where("reason IS NULL").drop("reason"), score.where("reason IS NULL").drop("reason")
-    report = J.first_missing(lengths.select("stem"), {"midi": midi_files, "score": score_files, "sync": sync_files}, ["stem"], "lacks")
-    report = report.join(bad.groupBy("stem").agg(F.min("reason").alias("unread")), "stem", "left")
+    report = reasons(lengths.select("stem"), {"midi": midi_files, "score": score_files, "sync": sync_files}, bad)
     report = report.join(sync.groupBy("stem").agg(F.countDistinct("measure", F.coalesce("offset", F.lit(0.0))).alias("points")), "stem", "left").join(measures_agree(score, sync).select("stem", "agrees"), "stem", "left")
-    reason = F.when(F.col("lacks").isNotNull(), F.concat(F.lit("missing "), "lacks")).when(F.col("unread").isNotNull(), F.col("unread")).when(F.coalesce("points", F.lit(0)) < 2, "fewer than two sync points")
+    reason = F.when(F.col("reason").isNotNull(), F.col("reason")).when(F.coalesce("points", F.lit(0)) < 2, "fewer than two sync points")
     if not keep_mismatch:
         reason = reason.when(~F.coalesce("agrees", F.lit(True)), "measures disagree")
     report = report.select("stem", reason.alias("reason")).withColumn("status", F.when(F.col("reason").isNull(), "included").otherwise("excluded"))

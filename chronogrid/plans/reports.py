@@ -58,3 +58,50 @@ def write_corrected(frames: DataFrame, record: dict, source: str, target: str, f
     frames.write.parquet(f"{target}/frames")
     kinds = ", ".join(f"{k} {'long' if isinstance(v, int) else 'string'}" for k, v in record.items())
     spark.createDataFrame([tuple(record.values())], kinds).write.parquet(f"{target}/record")
+
+
+def write_manifest(report: DataFrame, parameters: dict, path: str) -> None:
+    """How a table was made: ``tracks``, a row for each track with its status and reason, and ``parameters``, a row for each setting.
+
+    ``report`` has stem and reason (null: included), and more columns as it likes.
+    """
+    report.withColumn("status", F.when(F.col("reason").isNull(), "included").otherwise("excluded")).write.mode("overwrite").parquet(f"{path}/tracks")
+    rows = [(k, None if v is None else str(v)) for k, v in sorted(parameters.items())]
+    report.sparkSession.createDataFrame(rows, "name string, value string").coalesce(1).write.mode("overwrite").parquet(f"{path}/parameters")
+
+
+def manifest_counts(spark: SparkSession, path: str) -> DataFrame:
+    """(status, reason, n) of a written manifest."""
+    return spark.read.parquet(f"{path}/tracks").groupBy("status", "reason").agg(F.count("*").alias("n"))
+
+
+def carry_over(spark: SparkSession, source: str, target: str, names, replaced=("frames", "record")) -> list[str]:
+    """Tables of ``source`` that a corrected ``target`` does not replace are its own as well: no bytes are copied, their places are noted in ``carried``."""
+    kept = [n for n in names if n not in replaced and exists(spark, f"{source}/{n}")]
+    spark.createDataFrame([(n, located(spark, source, n)) for n in kept], "name string, path string").coalesce(1).write.mode("overwrite").parquet(f"{target}/carried")
+    return kept
+
+
+def located(spark: SparkSession, folder: str, name: str) -> str:
+    """Path of a table of a label folder, its own or a carried one; ValueError if it has none."""
+    if exists(spark, f"{folder}/{name}"):
+        return f"{folder}/{name}"
+    if exists(spark, f"{folder}/carried"):
+        for r in spark.read.parquet(f"{folder}/carried").where(F.col("name") == name).limit(1).collect():
+            return r["path"]
+    raise ValueError(f"{folder} has no table {name}")
+
+
+def frame_window(start: float, duration: float, hop_seconds: float, n_frames: int) -> tuple[int, int]:
+    """First frame and the one after the last of a stretch of seconds, cut to whole frames; ValueError if it is empty."""
+    first, last = max(0, int(start / hop_seconds)), min(n_frames, int((start + duration) / hop_seconds))
+    if first >= last:
+        raise ValueError(f"window {start}-{start + duration}s is empty; the track has {n_frames * hop_seconds:.1f}s")
+    return first, last
+
+
+def plot_slice(frames: DataFrame, stem: str, window: tuple[int, int], hop_seconds: float) -> DataFrame:
+    """(string, frame, seconds, pitch, onset_pitch) of a track's frames in a window: pitch is null where nothing sounds, onset_pitch where no note begins."""
+    here = frames.where((F.col("stem") == stem) & (F.col("frame") >= window[0]) & (F.col("frame") < window[1]))
+    onset = F.when(F.col("onset"), F.col("pitch")) if "onset" in frames.columns else F.lit(None).cast("double")
+    return here.select("string", "frame", (F.col("frame") * hop_seconds).alias("seconds"), F.when(F.col("voiced"), F.col("pitch")).alias("pitch"), onset.alias("onset_pitch"))

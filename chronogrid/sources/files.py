@@ -17,7 +17,7 @@ def binary(spark: SparkSession, paths, pattern: str | None = None) -> DataFrame:
 
 
 def parsed(files: DataFrame, parse: Callable[[bytes], list[tuple]], columns: str) -> DataFrame:
-    """(stem, reason, columns...): a row for each item that ``parse`` yields; one row with a reason where it raises ValueError."""
+    """(stem, reason, columns...): a row for each item that ``parse`` yields; one row with a reason where it fails, whatever the error."""
     names = [c.split()[0] for c in columns.split(", ")]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -28,6 +28,8 @@ def parsed(files: DataFrame, parse: Callable[[bytes], list[tuple]], columns: str
                     rows += [(stem, None, *item) for item in parse(bytes(content))]
                 except ValueError as e:
                     rows.append((stem, str(e) or "unreadable", *[None] * len(names)))
+                except Exception as e:  # a file of unforeseen form must not end the others' job
+                    rows.append((stem, f"{type(e).__name__}: {e}", *[None] * len(names)))
             yield pd.DataFrame(rows, columns=["stem", "reason", *names], dtype=object)
 
     return files.select("stem", "content").mapInPandas(run, f"stem string, reason string, {columns}")

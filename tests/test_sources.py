@@ -179,3 +179,66 @@ def test_streaming_windows(spark, tmp_path):
     assert sounding.isStreaming and sounding.columns == ["user", "any_voiced"]
     assert spark.table("tumbling").agg(F.sum("n")).first()[0] == 100
     assert sorted((r.user, r.n) for r in spark.table("clusters").collect()) in ([(0, 25), (1, 25)], [(0, 25), (0, 25), (1, 25), (1, 25)])
+
+
+def listing(spark, rows):
+    return spark.createDataFrame([(p, p.rsplit("/", 1)[1].rsplit(".", 1)[0], bytearray(c)) for p, c in rows], "path string, stem string, content binary")
+
+
+def test_any_error_of_a_file_is_its_reason(spark):
+    files = listing(spark, [("/x/a.json", b'{"tempo": 100}'), ("/x/b.json", b"no"), ("/x/c.json", b'{"tempo": 100, "tuning": {"1": 64}, "measures": []}'), ("/x/d.json", b"[1]")])
+    got = {r.stem: r.reason for r in X.read_tempos(files).collect()}
+    assert got["a"] == "KeyError: 'tuning'" and got["b"].startswith("not JSON") and got["c"] is None and got["d"].startswith("TypeError")
+
+
+def test_json_that_cannot_be_read_has_a_reason(spark):
+    good = b'{"annotations": [{"namespace": "pitch_contour", "data": []}]}'
+    files = listing(spark, [("/x/a.jams", b"{broken"), ("/x/b.jams", b'{"annotations": [{"namespace": "beat", "data": []}]}'), ("/x/c.jams", good), ("/x/d.jams", b""), ("/x/e.jams", b"{}")])
+    got = {(r.stem, r.reason) for r in B.jams_problems(files).collect()}
+    assert got == {("a", "not JSON"), ("d", "not JSON"), ("b", "no pitch contour"), ("e", "no pitch contour")}
+    assert {r.stem for r in B.json_problems(files).collect()} == {"a", "d"}
+
+
+def test_takes_are_paired_by_their_naming(spark):
+    names = ["P1/audio/directinput/directinput_Chords.wav", "P1/midi/midi_Chords.mid", "P1/audio/directinput/directinput_Vibrato.wav", "P1/midi/midi_Vibrato.mid", "P2/audio/directinput/directinput_Scales.wav", "P2/video/ego/ego_Chords.mp3", "P2/midi/midi_Chords.mid", "Q1/audio/directinput/directinput_X.wav", "Q1/midi/midi_X.mid"]
+    files = listing(spark, [(f"file:/raw/{n}", b"") for n in names])
+    both, lonely = B.paired(files, B.NAMINGS["directinput"], ["Vibrato"])
+    assert [(r.stem, r.audio[-10:], r.notes[-10:]) for r in both.collect()] == [("P1_Chords", "Chords.wav", "Chords.mid")]
+    assert {tuple(r) for r in lonely.collect()} == {("P2_Scales", "no notes")}
+    assert [r.stem for r in B.paired(files, B.NAMINGS["ego"])[0].collect()] == ["P2_Chords"]
+    files = listing(spark, [(f"file:/raw/deep/{n}", b"") for n in ("00_a_mic.wav", "00_a_mix.wav", "00_a.jams", "01_b_mic.wav")])
+    both, lonely = B.paired(files, B.NAMINGS["mic"])
+    assert [(r.stem, r.audio) for r in both.collect()] == [("00_a", "file:/raw/deep/00_a_mic.wav")] and [r.stem for r in lonely.collect()] == ["01_b"]
+
+
+def test_paths_of_files_that_are_not_there_are_null(spark):
+    files = listing(spark, [("file:/root/data/item_0/item_0.gp5", b"")])
+    rows = [(1, "GOAT/item_0/item_0.gp5"), (2, " "), (3, None), (4, "GOAT/item_1/item_1.gp5"), (5, "item_0/item_0.gp5")]
+    df = spark.createDataFrame(rows, "k int, gp string").withColumn("gp", B.resolved("gp", "GOAT/"))
+    got = {r.k: r.gp for r in B.existing(df, "gp", files, "/root/data").collect()}
+    there = "file:/root/data/item_0/item_0.gp5"
+    assert got == {1: there, 2: None, 3: None, 4: None, 5: there}
+
+
+def test_cached_tracks_name_what_is_missing(spark):
+    names = ["a-audio", "a-pitch", "a-voiced", "a-onset", "b-pitch", "c-d-audio", "c-d-pitch", "c-d-voiced"]
+    got = {r.stem: (r.missing, r.has_onset) for r in B.missing_parts(listing(spark, [(f"file:/c/{n}.npy", b"") for n in names])).collect()}
+    assert got == {"a": (None, True), "b": ("audio, voiced", False), "c-d": (None, False)}
+
+
+def riff(form, bits, data, channels=1, rate=8000, extra=b""):
+    fmt = struct.pack("<HHIIHH", form, channels, rate, rate * channels * bits // 8, channels * bits // 8, bits) + extra
+    body = b"WAVE" + b"LIST" + struct.pack("<I", 3) + b"abc\0" + b"fmt " + struct.pack("<I", len(fmt)) + fmt + b"data" + struct.pack("<I", len(data)) + data
+    return b"RIFF" + struct.pack("<I", len(body)) + body
+
+
+def test_wave_files_of_every_sample_format():
+    x = np.array([0.0, 0.5, -0.5, 0.25, -1.0, 0.75])
+    for form, bits, data in ((3, 32, x.astype("<f4").tobytes()), (3, 64, x.astype("<f8").tobytes()), (1, 16, (x * 2**15).astype("<i2").tobytes()), (1, 32, (x * 2**31).astype("<i4").tobytes()), (1, 8, (x * 128 + 128).astype(np.uint8).tobytes())):
+        assert B.decode_wav(riff(form, bits, data), 8000).tolist() == x.tolist()
+        assert B.decode_wav(riff(form, bits, data, channels=2), 8000).tolist() == [0.25, -0.125, -0.125]
+    wide = struct.pack("<HHI", 22, bits, 4) + struct.pack("<H", 3) + b"\0" * 14
+    assert B.decode_wav(riff(0xFFFE, 32, x.astype("<f4").tobytes(), extra=wide), 8000).tolist() == x.tolist()
+    for bad in (b"", b"RIFF1234WAVE", riff(2, 4, b"1234"), riff(1, 12, b"123456"), b"ID3" + b"0" * 60):
+        with pytest.raises(ValueError):
+            B.decode_wav(bad, 8000)
