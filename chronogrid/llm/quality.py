@@ -136,11 +136,10 @@ def co_train(text_x: np.ndarray, metadata_x: np.ndarray, labels: np.ndarray) ->
             if not len(left):
                 continue
             p = 1 / (1 + np.exp(-_margin(views[v][left], models[v])))
-            order = np.argsort(p, kind="stable")
             good, bad = max(1, round(HANDED * share)), max(1, round(HANDED * (1 - share)))
-            given[other].update({int(i): 1 for i in left[order[::-1][:good]] if p[order[::-1][0]] > 0.9} if p[order[-1]] > 0.9 else {})
-            sure = [int(left[k]) for k in order[:bad] if p[k] < 0.1]
-            given[other].update(dict.fromkeys(sure, 0))
+            sure = {int(left[k]): 1 for k in np.argsort(-p, kind="stable")[:good] if p[k] > 0.9}
+            sure |= {int(left[k]): 0 for k in np.argsort(p, kind="stable")[:bad] if p[k] < 0.1}
+            given[other].update(sure)
         models = [fitted(0), fitted(1)]
 
     back = kept_back if len(set(labels[kept_back])) == 2 else known
@@ -166,15 +165,22 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Train on bounded samples, drawn by a hash of the id: LABELLED labelled and UNLABELLED other documents, up to MOST_CHARS characters each.
 
     The others are drawn from all documents without a label. Where there is none, no
-    label is handed on, and each view learns from the labels alone.
+    label is handed on, and each view learns from the labels alone. Labels of the held-out
+    fold are never read. Ties of the hash go by id; an id with labels of both classes is
+    poor, and of rows that share an id the one of smallest hash counts. Of equally sure
+    documents a view labels those first that come first in that order.
     """
     order = (F.xxhash64("doc_id", F.lit(3)), "doc_id")
-    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).where("doc_id IS NOT NULL AND quality IN (0, 1)").where(~held_out(F.col("doc_id"))).orderBy(*order).limit(LABELLED)
+    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).where("doc_id IS NOT NULL AND quality IN (0, 1)").where(~held_out(F.col("doc_id")))
+    known = known.groupBy("doc_id").agg(F.min("quality").alias("quality")).orderBy(*order).limit(LABELLED)
     known = saved(known, "quality-sample")
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL")
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL").distinct()
     others = saved(ids.join(labels.select(F.col("doc_id").cast("long").alias("doc_id")), "doc_id", "left_anti").orderBy(*order).limit(UNLABELLED).withColumn("quality", F.lit(-1)), "quality-others")
     # At most LABELLED + UNLABELLED ids are broadcast.
-    rows = _columns(docs).join(F.broadcast(known.unionByName(others).dropDuplicates(["doc_id"])), "doc_id").orderBy(*order).limit(LABELLED + UNLABELLED)
+    rows = _columns(docs).join(F.broadcast(known.unionByName(others)), "doc_id")
+    row = F.struct("text", "lang", "source", "n_chars")
+    rows = rows.groupBy("doc_id", "quality").agg(F.min(F.struct(F.xxhash64(row).alias("hash"), row.alias("row"))).alias("least"))
+    rows = rows.select("doc_id", "quality", "least.row.*").orderBy(*order)
     features, meta, y, chars = [], [], [], {True: 0, False: 0}
     for r in rows.toLocalIterator():
         which = r["quality"] >= 0

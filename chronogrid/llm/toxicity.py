@@ -382,14 +382,19 @@ def _fitting(rows: list[tuple[str, int]]) -> list[tuple[str, int]]:
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Train on a bounded sample of labelled texts: at most MOST_TEXTS of each class, in order of a hash of the id, and MOST_CHARS in all: half for each class, and what one class leaves for the other. A text that does not fit is skipped; later ones still count.
 
-    Rows of the held-out fold, null ids and null labels are not used.
+    Rows of the held-out fold, null ids and null labels are not used. An id with labels
+    of both classes is toxic; of differing texts of one id the one of smallest hash counts,
+    so no id takes more than its place. Parts of a text of more than MOST_UNIT characters
+    without a space are not learnt from.
     """
     pool = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("doc_id IS NOT NULL AND toxic IN (0, 1)").where(~held_out(F.col("doc_id")))
+    pool = pool.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = (F.xxhash64("doc_id", F.lit(5)), "doc_id")
     chosen = saved(pool.where("toxic = 1").orderBy(*order).limit(MOST_TEXTS).unionByName(pool.where("toxic = 0").orderBy(*order).limit(MOST_TEXTS)), "toxic-sample")
     # The sample is at most 2 x MOST_TEXTS ids, so it may be broadcast.
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
-    texts = texts.where(F.length("text") <= MOST_CHARS // 2).orderBy(*order)
+    texts = texts.where(F.length("text") <= MOST_CHARS // 2).groupBy("doc_id", "toxic").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least"))
+    texts = texts.select("doc_id", "toxic", "least.text").orderBy(*order)
     rows = _fitting([(r["text"], r["toxic"]) for r in _within(texts.limit(2 * MOST_TEXTS).select("toxic", "text").toLocalIterator())])
     return train([t for t, _ in rows], [k for _, k in rows])
 
