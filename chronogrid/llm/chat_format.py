@@ -14,6 +14,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .common import bounded
+
 CONTROL = ("<<SYS>>", "<</SYS>>", "[INST]", "[/INST]", "<s>", "</s>", "<<ROLE>>", "<<SAYS>>", "<</ROLE>>")
 _TO_ESCAPE = re.compile(r"\\|" + "|".join(re.escape(c) for c in CONTROL))
 _ESCAPED = re.compile(r"\\(.)", re.DOTALL)
@@ -102,7 +104,7 @@ def prefix_targets(conversations: DataFrame) -> DataFrame:
     time, while its output is as long as the expansion asks for.
     """
     turns = conversations.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), F.col("role").cast("string"), F.col("text").cast("string"))
-    turns = turns.repartition(int(conversations.sparkSession.conf.get("spark.sql.shuffle.partitions")), "conv_id")
+    turns = bounded(turns, 2048).repartition(int(conversations.sparkSession.conf.get("spark.sql.shuffle.partitions")), "conv_id")
     return turns.sortWithinPartitions("conv_id", "turn", F.col("role").asc_nulls_first(), F.col("text").asc_nulls_first()).mapInArrow(_expanded, EXAMPLES)
 
 

@@ -55,6 +55,23 @@ def settings(spark: SparkSession, **values: str) -> Iterator[None]:
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def bounded(df: DataFrame, rows: int = 512) -> DataFrame:
+    """The same rows in a session of their own, in which an Arrow batch carries at most ``rows`` of them to a Python worker.
+
+    For frames of whole texts that go back to the caller unwritten: how many rows a batch
+    has is decided when a frame is planned, by the settings of its session. The caller's
+    session keeps its own.
+    """
+    spark, key = df.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if 0 < int(spark.conf.get(key)) <= rows:
+        return df
+    own = spark._jsparkSession.cloneSession()
+    own.conf().set(key, str(rows))
+    plan = df._jdf.queryExecution().analyzed()
+    context = spark.sparkContext
+    return DataFrame(context._jvm.org.apache.spark.sql.classic.Dataset.ofRows(own, plan), SparkSession(context, own))
+
+
 def saved(df: DataFrame, tag: str, rows: int = 512) -> DataFrame:
     """``df`` written to shared storage and read again: cuts lineage, survives lost executors.
 

@@ -17,7 +17,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import open_fs, saved, work_dir
+from .common import bounded, open_fs, saved, work_dir
 
 #: Edits allowed, as a share of an item's characters.
 RATE = 0.08
@@ -175,7 +175,7 @@ def matches(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataFrame:
     that has these, inside words too, and allows no edits under 1 / rate characters. Other
     columns are not read. An empty table on either side gives no rows.
     """
-    base = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    base = bounded(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")))
     out = None
     for block in _blocks(items):
         found = base.mapInArrow(_matched(block, rate), f"doc_id long, {MATCHES}")
@@ -196,6 +196,7 @@ def decontaminated(docs: DataFrame, items: DataFrame, rate: float = RATE) -> Dat
 
     Decided row by row, without a join. Null and empty texts stay.
     """
+    docs = bounded(docs)
     for k, block in enumerate(_blocks(items)):
         # A table between passes, so that no worker holds the items of two blocks.
         docs = (saved(docs, "decontaminated") if k else docs).where(F.pandas_udf(_clean(block, rate), "boolean")(F.col("text").cast("string")))

@@ -21,7 +21,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import saved
+from .common import bounded, saved
 
 #: Leading tokens that the tree looks at; documents that make a token constant and a
 #: template recur; share of a template's tokens that are constant.
@@ -142,7 +142,7 @@ def without_templates(docs: DataFrame, depth: int = DEPTH, recurs: int = RECURS,
     lose the same lines. A null text stays null with no lines. Long lines are looked at
     whole. Other columns are not read. An empty table gives no rows.
     """
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("key", F.xxhash64("doc_id", "text"))
+    base = bounded(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))).withColumn("key", F.xxhash64("doc_id", "text"))
     lines, dropped = templates(base.select("key", "text"), depth, recurs, constant)
     gone = lines.join(dropped.select("leaf", "line").distinct(), ["leaf", "line"], "left_semi").select("key", "number").distinct().groupBy("key").agg(F.collect_list("number").alias("gone"))
     # One plan at every size: what is dropped grows with the input and is not broadcast.

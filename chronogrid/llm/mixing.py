@@ -19,7 +19,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .common import saved
+from .common import bounded, saved
 
 #: Words in a block.
 BLOCK = 128
@@ -208,7 +208,7 @@ class Mix:
         # Rows that repeat an id and a text are alike: the n-th of them takes the n-th place.
         nth = took.select("doc_id", "text_key", "source_no", "start", "pass", "__runs", F.dense_rank().over(Window.partitionBy("doc_id", "text_key").orderBy("source_no", "start")).alias("__nth"))
         took = nth.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "__nth", "__runs")
-        rows = docs.withColumn("__key", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+        rows = bounded(docs).withColumn("__key", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
         rows = rows.withColumn("__nth", F.row_number().over(Window.partitionBy("doc_id", "__key").orderBy(F.col("source").asc_nulls_last())))
         joined = rows.alias("d").join(took.alias("t"), F.col("d.doc_id").eqNullSafe(F.col("t.__id")) & (F.col("d.__key") == F.col("t.__key")) & (F.col("d.__nth") == F.col("t.__nth"))).select("d.*", "t.__runs")
         out = joined.withColumn("text", F.pandas_udf(_cut, "string")("text", "__runs"))

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import saved, text_slices
+from .common import bounded, saved, text_slices
 from .shingles import word_hashes, word_spans
 
 #: Bounds of training: labelled and unlabelled documents, and characters that either sample may have.
@@ -210,5 +210,5 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     their own; repeated rows are each returned. Other columns are not read. An empty
     table gives no rows.
     """
-    scored = _columns(docs).mapInArrow(_scored(model), "doc_id long, score double, text_score double, metadata_score double")
+    scored = _columns(bounded(docs)).mapInArrow(_scored(model), "doc_id long, score double, text_score double, metadata_score double")
     return scored.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score", "text_score", "metadata_score", (F.col("score") >= 0.5).alias("kept"))

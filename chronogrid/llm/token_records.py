@@ -28,7 +28,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .common import open_fs, saved, work_dir
+from .common import bounded, open_fs, saved, work_dir
 
 #: Fixed values of the masking.
 MASK_ROTATE, MASK_ADD = 15, 0xA282EAD8
@@ -463,7 +463,7 @@ def shuffled(index: DataFrame, folder: str, seed: int) -> DataFrame:
     and held against its checksums. ``index`` is that of ``offset_index`` or rows of it.
     """
     order = (F.xxhash64("path", "offset", F.lit(seed)), "path", "offset")
-    rows = index.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = bounded(index).repartitionByRange(*order).sortWithinPartitions(*order)
     return rows.select("doc_id", "path", "offset", "n_tokens", "width").mapInArrow(_drawn(folder), "doc_id long, ids array<long>")
 
 

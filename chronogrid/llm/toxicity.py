@@ -36,7 +36,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import saved
+from .common import bounded, saved
 
 #: Kernel: span decay and largest span of four characters.
 DECAY, WINDOW = 0.7, 7
@@ -406,7 +406,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     nothing speaks for toxicity; every unit of a long text counts. Repeated rows are each
     returned; a null id is held out of no fold (false). An empty table gives no rows.
     """
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    base = bounded(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")))
     scored = base.mapInArrow(_scored(model), "doc_id long, score double")
     return scored.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
@@ -418,4 +418,4 @@ def accepted(docs: DataFrame, model: Model) -> DataFrame:
     def clean(text: pd.Series) -> pd.Series:
         return pd.Series(model.score(_evidence(model, known, list(text))) < 0.5, dtype=bool)
 
-    return docs.where(F.pandas_udf(clean, "boolean")(F.col("text").cast("string")))
+    return bounded(docs).where(F.pandas_udf(clean, "boolean")(F.col("text").cast("string")))

@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import open_fs, saved, work_dir
+from .common import bounded, open_fs, saved, work_dir
 
 #: Payload bytes after which the writer begins a new archive.
 ARCHIVE_BYTES = 64 << 20
@@ -215,7 +215,7 @@ def read_archives(index: DataFrame, folder: str, payloads: bool = True) -> DataF
     header), a revisit's from its headers; a revisit's payload is null.
     """
     parts = 4 * index.sparkSession.sparkContext.defaultParallelism
-    rows = index.repartition(parts, "path").sortWithinPartitions("path", "offset")
+    rows = bounded(index).repartition(parts, "path").sortWithinPartitions("path", "offset")
     out = rows.mapInArrow(_parsed(folder), "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, payload binary")
     return out if payloads else out.drop("payload")
 
