@@ -38,10 +38,12 @@ from .shingles import shingle_sets
 
 #: Fewest bits of the map by which far pairs are told apart before their sets are compared.
 SKETCH = 256
-#: Signatures' rows that are looked at together; a centre with more is split.
-TOGETHER = 50_000
-#: Sets of one signature that are compared in one task; more are cut into blocks, and pairs of blocks are dealt out.
-HOT = 16_384
+#: Rows of signatures that are looked at together; a centre with more is split, by signature or by its sets.
+TOGETHER = 10_000
+#: A family of sets is split into blocks of at least BLOCK sets, and into BLOCKS blocks at most.
+BLOCK, BLOCKS = 512, 64
+#: Sets of which a task notes the pairs that it has tested, in some 64 MB.
+NOTED = 8_192
 _SALTS = mix64(np.arange(1, 9, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -297,8 +299,13 @@ class _Family:
         return self.folds[words]
 
     def pairs(self, ids: np.ndarray, comp: np.ndarray, side: np.ndarray, block: int = 1024) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Open pairs of different components, and of different sides where sets have one (not -1); a pair that was tested under an earlier signature is not told again."""
-        if self.tested is None and len(self.sizes) <= 16384:
+        """Open pairs of different components; a pair that was tested under an earlier signature is not told again.
+
+        Where sets have sides (not -1), pairs are of one that is asked for (1) and one of
+        the others: of the component that asks for nothing (0), or asked for elsewhere too
+        (2), which is told there if its id is the smaller one.
+        """
+        if self.tested is None and len(self.sizes) <= NOTED:
             self.tested = np.zeros((len(self.sizes), len(self.sizes)), bool)
         at = np.array([self.place[int(i)] for i in ids])
         size, words = np.array(self.sizes)[at], np.array([len(self.maps[k]) // 8 for k in at])
@@ -306,7 +313,10 @@ class _Family:
         for i in range(0, len(ids), block):
             for j in range(i, len(ids), block):
                 a, b = slice(i, i + block), slice(j, j + block)
-                open_ = (comp[a, None] != comp[None, b]) & ((side[a, None] < 0) | (side[a, None] != side[None, b]))
+                open_ = comp[a, None] != comp[None, b]
+                if side[0] >= 0:
+                    p, q, less = side[a, None], side[None, b], ids[a, None] < ids[None, b]
+                    open_ &= ((p == 1) & ((q == 0) | (q == 2) & less)) | ((q == 1) & ((p == 0) | (p == 2) & ~less))
                 open_ &= den * np.minimum(size[a, None], size[None, b]) >= num * np.maximum(size[a, None], size[None, b])
                 if i == j:
                     open_ &= np.tri(len(at[a]), k=-1, dtype=bool).T
@@ -382,8 +392,9 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     (words split at bytes 09-0D and 20, A-Z lower-cased) is at least num/den;
     component_id is the smallest id reachable by links. No candidate is capped or
     dropped, so every link that joins two components is found. Similarity is decided on
-    64-bit shingle hashes, whose bound of error the module states. A signature that a
-    great part of the sets share is compared block by block, in many tasks.
+    64-bit shingle hashes, whose bound of error the module states. Sets that very many
+    signatures or a very frequent one tie together are compared block by block, in many
+    tasks.
 
     Null or empty texts, and texts of white space, have no shingles and link with nothing.
     Texts of fewer words are one shingle. Rows that share an id are one document and so
@@ -421,18 +432,28 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     placed = saved(placed, "placed")
     mixed = placed.groupBy("sig").agg(F.min("component").alias("p"), F.max("component").alias("q"), F.count("*").alias("sets")).where("p < q").select("sig", "sets")
     mixed = saved(placed.join(mixed, "sig"), "mixed")
-    usual, hot = mixed.where(F.col("sets") <= HOT), mixed.where(F.col("sets") > HOT)
-    # Signatures of one centre are looked at together, for their pairs are mostly the same;
-    # a centre of many rows is split by signature. Each part gets its sets' maps once.
-    # Centres to split are few: at most one for TOGETHER rows.
-    split = saved(usual.groupBy("centre").agg(F.ceil(F.count("*") / TOGETHER).alias("parts")).where("parts > 1"), "split")
-    usual = usual.join(split, "centre", "left").withColumn("part", F.pmod(F.xxhash64("sig"), F.coalesce("parts", F.lit(1)))).withColumn("side", F.lit(-1))
-    # The sets of a signature that very many have are cut into blocks; a task compares two of them, or one with itself.
-    blocks = F.ceil(F.col("sets") * 2 / HOT)
-    dealt = hot.withColumn("block", F.pmod(F.xxhash64("id"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-    low, high = F.least("block", "other"), F.greatest("block", "other")
-    side = F.when(low == high, -1).otherwise((F.col("block") == high).cast("int"))
-    dealt = dealt.withColumn("part", F.xxhash64("sig", low, high)).withColumn("side", side)
+    # Signatures of one centre are looked at together, for their pairs are mostly the same.
+    # A centre of many rows is split in the way that compares less: by signature, or by its
+    # sets. Centres to split are few: at most one for TOGETHER rows.
+    rows = mixed.groupBy("centre").agg(F.count("*").alias("rows"), F.sum(F.col("sets")).alias("pairs"), F.max("sets").alias("most")).where(F.col("rows") > TOGETHER)
+    big = saved(rows, "big-centres")
+    family = saved(mixed.join(big.select("centre"), "centre").select("centre", "id", "component").distinct(), "families")
+    kinds = family.groupBy("centre", "component").agg(F.count("*").alias("n"))
+    shape = kinds.groupBy("centre").agg(F.sum("n").alias("sets"), F.max("n").alias("alike"), F.max_by("component", F.struct("n", -F.col("component"))).alias("major"))
+    asked, block = F.col("sets") - F.col("alike"), F.greatest(F.lit(BLOCK), F.ceil(F.col("sets") / BLOCKS))
+    whole = (F.col("pairs") > asked * F.col("sets")) | (F.col("most") > TOGETHER)
+    ways = big.join(shape, "centre").select("centre", "major", whole.alias("whole"), F.ceil(F.col("rows") / TOGETHER).alias("parts"), F.ceil(asked / block).alias("down"), F.ceil(F.col("sets") / block).alias("across"))
+    ways = saved(ways, "ways")
+    usual = mixed.join(ways.select("centre", "whole", "parts"), "centre", "left").where("whole IS NULL OR NOT whole")
+    usual = usual.withColumn("part", F.pmod(F.xxhash64("sig"), F.coalesce("parts", F.lit(1)))).withColumn("side", F.lit(-1))
+    # Sets outside the component that most of the family is in already are held against
+    # all of the family, one block of them and one of the family in a task.
+    held = family.join(ways.where("whole"), "centre")
+    numbers = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    key = F.xxhash64("id")
+    down = held.where("component <> major").withColumn("i", F.pmod(key, F.col("down"))).withColumn("j", numbers("across")).withColumn("side", F.lit(1))
+    over = held.withColumn("j", F.pmod(key, F.col("across"))).withColumn("i", numbers("down")).withColumn("side", F.when(F.col("component") == F.col("major"), 0).otherwise(2))
+    dealt = down.unionByName(over).withColumn("part", -1 - F.col("i") * F.col("across") - F.col("j")).withColumn("sig", F.lit(0).cast("long"))
     columns = ["centre", "part", "sig", "id", "component", "side"]
     members = saved(usual.select(*columns).unionByName(dealt.select(*columns)), "members")
     none = F.lit(None)

@@ -156,11 +156,12 @@ def test_deletions_are_allocated_to_as_many_segments_as_it_takes():
         assert len(sig) == want
 
 
-@pytest.mark.parametrize("hot", [4, 30])
-def test_hot_signatures_against_brute_force(spark, words, hot, monkeypatch):
-    """A passage that most documents share, in components of many kinds: signatures are cut into pairs of blocks."""
-    monkeypatch.setattr(J, "HOT", hot)
-    rng = random.Random(hot)
+@pytest.mark.parametrize(("together", "block", "blocks"), [(3, 2, 64), (30, 5, 3), (200, 512, 64)])
+def test_hot_signatures_against_brute_force(spark, words, together, block, blocks, monkeypatch):
+    """A passage that most documents share, in components of many kinds: families are cut into blocks, or centres by signature."""
+    for name, value in (("TOGETHER", together), ("BLOCK", block), ("BLOCKS", blocks)):
+        monkeypatch.setattr(J, name, value)
+    rng = random.Random(together)
     passage = [rng.choice(words) for _ in range(40)]
     rows = []
     for i in range(150):
@@ -171,3 +172,24 @@ def test_hot_signatures_against_brute_force(spark, words, hot, monkeypatch):
         rows.append((i, " ".join(w)))
     got = sorted(map(tuple, J.jaccard_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()))
     assert got == brute(rows)
+
+
+def test_a_family_s_pairs_are_told_once():
+    """All pairs of different components, one of them at least outside the greatest, from all blocks together."""
+    rng = np.random.default_rng(1)
+    n, h = 60, rng.integers(0, 1 << 63, 40, dtype=np.uint64)
+    comp = np.where(np.arange(n) < 40, 7, rng.integers(100, 104, n))
+    sketch = J._sketches(h, np.array([0, 40]))[0]
+    told = []
+    down, across = 3, 4
+    for i in range(down):
+        for j in range(across):
+            family = J._Family(3, 4)
+            rows = [(k, 1) for k in range(40, n) if k % down == i] + [(k, 0 if k < 40 else 2) for k in range(n) if k % across == j]
+            for k in {k for k, _ in rows}:
+                family.add(k, 40, sketch)
+            if rows:
+                ids = np.array([k for k, _ in rows])
+                for x, y in family.pairs(ids, comp[ids], np.array([s for _, s in rows]), block=16):
+                    told += [(min(p, q), max(p, q)) for p, q in zip(x.tolist(), y.tolist(), strict=True)]
+    assert sorted(told) == [(x, y) for x in range(n) for y in range(x + 1, n) if comp[x] != comp[y]]
