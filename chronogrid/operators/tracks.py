@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import kernels as K
@@ -17,6 +18,20 @@ def _schema(df: DataFrame, keys, more: str) -> str:
     return ", ".join([*(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys), more])
 
 
+def _sorted(table: pa.Table, order, names) -> list[np.ndarray]:
+    """Columns of a group as arrays, in order; a null number is not a number."""
+    arrays = {n: table.column(n).to_numpy() for n in {*order, *names}}
+    at = np.lexsort([arrays[n] for n in reversed(order)])
+    return [arrays[n][at] for n in names]
+
+
+def _table(keys, key, columns: dict[str, np.ndarray]) -> pa.Table:
+    """Rows of a group: its keys, then the columns."""
+    n = len(next(iter(columns.values())))
+    held = {k: pa.array([v.as_py()] * n, v.type) for k, v in zip(keys, key, strict=True)}
+    return pa.table(held | {k: pa.array(v) for k, v in columns.items()})
+
+
 def monotone_align(left: DataFrame, right: DataFrame, keys, tolerance: float = 2.0, gap: float = -0.3, chord: float = 0.05) -> DataFrame:
     """(keys, idx, other_idx): order-preserving matches of events (keys, idx, time, pitch) of two sides.
 
@@ -24,18 +39,14 @@ def monotone_align(left: DataFrame, right: DataFrame, keys, tolerance: float = 2
     has no matches.
     """
 
-    def run(key, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        a, b = a.sort_values(["time", "idx"], kind="stable"), b.sort_values("idx", kind="stable")
-        found = K.align(a["time"].to_numpy(), a["pitch"].to_numpy(), b["time"].to_numpy(), b["pitch"].to_numpy(), tolerance, gap, chord)
-        pairs = sorted(found.items())
-        out = pd.DataFrame({"idx": a["idx"].to_numpy()[[i for i, _ in pairs]], "other_idx": b["idx"].to_numpy()[[j for _, j in pairs]]}, dtype="int64")
-        for k, v in zip(keys, key, strict=True):
-            out[k] = v
-        return out[[*keys, "idx", "other_idx"]]
+    def run(key, a: pa.Table, b: pa.Table) -> pa.Table:
+        (idx, time, pitch), (other, other_time, other_pitch) = (_sorted(x, order, ("idx", "time", "pitch")) for x, order in ((a, ("time", "idx")), (b, ("idx",))))
+        pairs = sorted(K.align(time, pitch, other_time, other_pitch, tolerance, gap, chord).items())
+        return _table(keys, key, {"idx": idx[[i for i, _ in pairs]].astype("int64"), "other_idx": other[[j for _, j in pairs]].astype("int64")})
 
     columns = [*keys, "idx", "time", "pitch"]
     grouped = left.select(*columns).groupBy(*keys).cogroup(right.select(*columns).groupBy(*keys))
-    return grouped.applyInPandas(run, _schema(left, keys, "idx long, other_idx long"))
+    return grouped.applyInArrow(run, _schema(left, keys, "idx long, other_idx long"))
 
 
 def assign_strings(notes: DataFrame, tuning: DataFrame, keys, most_fret: int = K.MOST_FRET) -> DataFrame:
@@ -44,17 +55,15 @@ def assign_strings(notes: DataFrame, tuning: DataFrame, keys, most_fret: int = K
     A null string is looked for; -1 where no string can play the note.
     """
 
-    def run(key, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        a = a.sort_values("idx", kind="stable")
-        have = a["string"].fillna(-1).astype(int).to_numpy()
-        out = K.assign_strings(a["onset"].to_numpy(), a["offset"].to_numpy(), a["pitch"].to_numpy(), have, dict(zip(b["string"], b["open"], strict=True)), most_fret)
-        frame = pd.DataFrame({"idx": a["idx"].to_numpy(), "string": out, "given": have >= 0})
-        for k, v in zip(keys, key, strict=True):
-            frame[k] = v
-        return frame[[*keys, "idx", "string", "given"]]
+    def run(key, a: pa.Table, b: pa.Table) -> pa.Table:
+        idx, onset, offset, pitch, string = _sorted(a, ("idx",), ("idx", "onset", "offset", "pitch", "string"))
+        have = np.where(np.isnan(string), -1, string).astype(int)
+        tuned = dict(zip(b.column("string").to_pylist(), b.column("open").to_pylist(), strict=True))
+        out = K.assign_strings(onset, offset, pitch, have, tuned, most_fret)
+        return _table(keys, key, {"idx": idx.astype("int64"), "string": out.astype("int32"), "given": have >= 0})
 
     a = notes.select(*keys, "idx", "onset", "offset", "pitch", F.col("string").cast("double").alias("string")).groupBy(*keys)
-    return a.cogroup(tuning.select(*keys, "string", "open").groupBy(*keys)).applyInPandas(run, _schema(notes, keys, "idx long, string int, given boolean"))
+    return a.cogroup(tuning.select(*keys, "string", "open").groupBy(*keys)).applyInArrow(run, _schema(notes, keys, "idx long, string int, given boolean"))
 
 
 def move_starts(frames: DataFrame, moves: DataFrame, keys) -> DataFrame:
