@@ -91,7 +91,7 @@ def padded_window(spark, d):
 
 
 def index_to_item(spark, d):
-    tracks = S.offsets(events(spark, d).groupBy("user_id").agg(F.count("*").alias("n")), ["user_id"], "n")
+    tracks = S.offsets(events(spark, d).groupBy("user_id").agg(F.count("*").alias("n")), ["user_id"], "n", bucket=F.floor(F.col("user_id") / 100))
     total = tracks.agg(F.sum("n").alias("total"))
     index = table(spark, d, "orders").join(F.broadcast(total)).select("o_orderkey", (F.col("o_orderkey") % F.col("total")).alias("position"))
     return G.item_of(index, tracks, "position", "offset", "n", ["user_id"]).select("o_orderkey", "user_id", "frame")

@@ -91,7 +91,7 @@ def tempo_sections(spark, d):
 
 def global_offsets(spark, d):
     n = events(spark, d).groupBy("user_id").agg(F.count("*").alias("n"))
-    return S.offsets(n, ["user_id"], "n")
+    return S.offsets(n, ["user_id"], "n", bucket=F.floor(F.col("user_id") / 100))
 
 
 def round_half_even(spark, d):
