@@ -97,6 +97,24 @@ SELECT conv_id, count(*) AS n_turns,
   sum(escaped + CASE role WHEN 'system' THEN 18 WHEN 'user' THEN 16 WHEN 'assistant' THEN 10 ELSE 9 + escaped_role + 10 + 11 END)::BIGINT AS formatted_chars,
   (count(*) FILTER (WHERE role = 'assistant') + CASE WHEN arg_max(role, place) = 'assistant' THEN 0 ELSE 1 END)::BIGINT AS n_examples
 FROM measured GROUP BY conv_id
+""",
+    "op2_line_templates": r"""
+WITH k AS (SELECT *, row_number() OVER () AS key FROM (SELECT DISTINCT doc_id, text FROM documents WHERE text IS NOT NULL)
+), l AS (SELECT key, number, line, list_transform(list_filter(string_split_regex(line, '[\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+'), lambda x: x <> ''), lambda x: CASE WHEN regexp_matches(x, '\p{Nd}') THEN '<*>' ELSE x END) AS w
+  FROM (SELECT key, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS number, unnest(string_split(text, chr(10))) AS line FROM k)
+), x AS (SELECT DISTINCT key, w, struct_pack(n := len(w), first := w[1:3]) AS leaf FROM l WHERE len(w) > 0
+), t AS (SELECT leaf, w, key, unnest(range(1, len(w) + 1)) AS place, unnest(w) AS token FROM x
+), c AS (SELECT leaf, place, token FROM t WHERE token <> '<*>' GROUP BY ALL HAVING count(DISTINCT key) >= 5
+), s AS (
+  SELECT leaf, w, list(struct_pack(place := place, token := token) ORDER BY place) FILTER (WHERE c.place IS NOT NULL) AS template
+  FROM (SELECT DISTINCT leaf, w, place, token FROM t) LEFT JOIN c USING (leaf, place, token) GROUP BY leaf, w HAVING count(c.place) >= 0.5 * len(w)
+), r AS (SELECT leaf, template FROM s JOIN x USING (leaf, w) GROUP BY ALL HAVING count(DISTINCT key) >= 5
+), gone AS (SELECT w FROM s JOIN r ON s.leaf = r.leaf AND s.template = r.template
+), kept AS (
+  SELECT key, count(*) AS n_lines, count(gone.w) AS n_dropped, coalesce(string_agg(line, chr(10) ORDER BY number) FILTER (WHERE gone.w IS NULL), '') AS text FROM l LEFT JOIN gone ON l.w = gone.w GROUP BY key
+)
+SELECT d.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_dropped, 0)::BIGINT AS n_dropped, length(kept.text)::BIGINT AS kept_chars, sha256(kept.text) AS kept_sha256
+FROM documents d LEFT JOIN k ON d.doc_id IS NOT DISTINCT FROM k.doc_id AND d.text = k.text LEFT JOIN kept USING (key)
 """,
     "op4_warc_normaliser": r"""
 WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha256(coalesce(html, '')) AS payload_digest FROM pages),
