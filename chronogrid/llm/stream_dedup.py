@@ -3,7 +3,10 @@
 Files of documents stream in. A keyed state without expiry, kept on disk by RocksDB, holds for every digest its
 smallest id, the content locator (file and row) of that document, and the number of
 rows. A digest is only a hint: rows that hit a digest are held against the full text at
-the locator, and rows whose text differs form groups of their own.
+the locator, and rows whose text differs form groups of their own. That is done for all
+micro-batches in one join when the stream has read the files, and not batch by batch:
+a table's files give no access to a row by its place, so that each batch would read the
+older files again.
 """
 
 from __future__ import annotations
