@@ -38,7 +38,7 @@ FILE_BYTES = 256 << 20
 #: Pieces of text whose ids a worker remembers, at some 250 bytes a piece.
 CACHE = 300_000
 #: Bytes of rows that are encoded together.
-_TOGETHER = 4 << 20
+_TOGETHER = 2 << 20
 #: Data files that a shuffled reader keeps open.
 _OPEN = 64
 #: Pieces whose ids are put together at a time.
@@ -328,6 +328,7 @@ def _written(folder: str, tokenizer: str, width: int, end_id: int, memory: int):
                     data = None
         if data is not None:
             close()
+        pa.default_memory_pool().release_unused()  # the worker may stay for other tasks
         kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in done], t) for k, t in enumerate(kinds)], ["path", "shard", "part", "records", "tokens", "bytes"])
 
