@@ -49,7 +49,7 @@ def op4_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_records.round_trip(_table(spark, sf_dir, "documents"), tokenizer_path(), memory=1_200_000)
+    return token_records.round_trip(_table(spark, sf_dir, "documents"), tokenizer_path(), memory=1_400_000)
 
 
 def op6_streaming_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
