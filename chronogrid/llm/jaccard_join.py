@@ -39,7 +39,7 @@ from .shingles import shingle_sets
 #: Fewest bits of the map by which far pairs are told apart before their sets are compared.
 SKETCH = 256
 #: Rows of signatures that are looked at together; a centre with more is split, by signature or by its sets.
-TOGETHER = 10_000
+TOGETHER = 2_000
 #: A family of sets is split into blocks of at least BLOCK sets, and into BLOCKS blocks at most.
 BLOCK, BLOCKS = 512, 64
 #: Sets of which a task notes the pairs that it has tested, in some 64 MB.
