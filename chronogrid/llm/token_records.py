@@ -36,7 +36,7 @@ NULL_ID = -(1 << 63)
 #: Data files are closed beyond this size.
 FILE_BYTES = 256 << 20
 #: Pieces of text whose ids a worker remembers, at some 250 bytes a piece.
-CACHE = 300_000
+CACHE = 100_000
 #: Bytes of rows that are encoded together.
 _TOGETHER = 2 << 20
 #: Data files that a shuffled reader keeps open.
