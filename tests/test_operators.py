@@ -1,5 +1,6 @@
 """Operators on the literal cases that define them."""
 
+import math
 import random
 
 import pytest
@@ -80,6 +81,14 @@ def test_resample_snaps_short_sequences(spark):
     assert rows == pytest.approx({("a", 0): 100, ("a", 1): 200, ("a", 2): 400, ("b", 3): 50, ("c", 1): 7})
 
 
+def test_resample_of_a_value_of_zero(spark):
+    # The logarithm of 0 is -inf: a line to it is 0 right after its start, where it is no number.
+    points = spark.createDataFrame([("a", 0, 0.0, 4.0), ("a", 1, 2.0, 0.0), ("b", 0, 3.3, 0.0)], "k string, i long, t double, hz double")
+    rows = {(r.k, r.frame): r.hz for r in G.resample(points, ["k"], ["t", "i"], "t", "hz", 1.0).collect()}
+    assert math.isnan(rows.pop(("a", 0)))
+    assert rows == {("a", 1): 0.0, ("a", 2): 0.0, ("b", 3): 0.0}
+
+
 def test_interpolation_is_kept_at_the_ends(spark):
     anchors = spark.createDataFrame([("a", 1.0, 10.0, 0), ("a", 1.0, 99.0, 1), ("a", 3.0, 20.0, 2)], "k string, x double, y double, i int")
     events = spark.createDataFrame([("a", v) for v in (0.0, 1.0, 2.0, 3.0, 9.0)] + [("b", 1.0)], "k string, at double")
