@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.scalars import cents
+from ..functions.scalars import sounding_cents
 
 #: Fixed values, in cents and milliseconds.
 DROP_CENTS, DECAY_MS, GESTURE_MS, SETTLED_CENTS = 25.0, 60.0, 100.0, 15.0
@@ -27,7 +27,7 @@ def shaped(frames: DataFrame, keys, frame: str, pitch: str, hop_ms: float, thres
         return F.percentile(F.when(where & sounds, F.col("__p")), F.lit(0.5)).over(note)
 
     def run_below(reference: str) -> Column:
-        fell = F.coalesce(cents("__p", reference) < -threshold, F.lit(False))
+        fell = F.coalesce(sounding_cents("__p", reference) < -threshold, F.lit(False))
         return F.coalesce(F.min(F.when(~fell, F.col("back"))).over(note) - 1, F.max("back").over(note)).cast("long")
 
     df = frames.withColumn("__p", F.col(pitch).cast("double")).withColumn("back", F.row_number().over(by_end))
@@ -37,7 +37,7 @@ def shaped(frames: DataFrame, keys, frame: str, pitch: str, hop_ms: float, thres
     before = (F.col("back") > F.col("run")) & sounds
     df = df.withColumn("__n", F.sum(before.cast("int")).over(by_end.rowsBetween(Window.unboundedPreceding, 0)))
     df = df.withColumn("value", F.coalesce(median(before & (F.col("__n") <= 5)), "__all", F.lit(0.0)))
-    last = F.when((F.col("back") <= 3) & (F.col("run") >= 3), cents("__p", "value"))
+    last = F.when((F.col("back") <= 3) & (F.col("run") >= 3), sounding_cents("__p", "value"))
     df = df.withColumn("__c", last).withColumn("spread", F.max("__c").over(note) - F.min("__c").over(note))
     ms = F.col("run") * F.lit(hop_ms)
     action = F.when(ms <= 0, "none").when(ms < DECAY_MS, "flattened").when((ms >= GESTURE_MS) & F.coalesce(F.col("spread") < settled, F.lit(False)), "preserved").otherwise("ambiguous-flattened")
@@ -66,7 +66,7 @@ def overhangs(frames: DataFrame, keys, frame: str, pitch: str, divider: int = 5,
     note = Window.partitionBy(*keys)
     df = frames.withColumn("__n", F.count("*").over(note)).withColumn("__tail", F.min(frame).over(note) + F.col("__n") - F.floor(F.col("__n") / divider))
     df = df.withColumn("__body", F.avg(F.when((F.col(frame) < F.col("__tail")) & (F.col(pitch) > 0), F.col(pitch))).over(note))
-    off = (F.col("__n") >= divider) & (F.col(frame) >= F.col("__tail")) & (F.abs(cents(pitch, "__body")) > threshold)
+    off = (F.col("__n") >= divider) & (F.col(frame) >= F.col("__tail")) & (F.abs(sounding_cents(pitch, "__body")) > threshold)
     return df.withColumn("silent", F.coalesce(off, F.lit(False))).drop("__n", "__tail", "__body")
 
 

@@ -81,6 +81,16 @@ def test_resample_snaps_short_sequences(spark):
     assert rows == pytest.approx({("a", 0): 100, ("a", 1): 200, ("a", 2): 400, ("b", 3): 50, ("c", 1): 7})
 
 
+def test_logarithms_of_zero_and_below(spark):
+    rows = spark.createDataFrame([(0.0,), (-1.0,), (None,), (880.0,)], "x double")
+    got = [tuple(r) for r in rows.select(X.log2("x"), X.hz_to_midi("x"), X.cents("x", F.lit(440.0)), X.decibels("x"), X.sounding_cents("x", F.lit(440.0))).collect()]
+    assert got[0] == (-math.inf, -math.inf, -math.inf, pytest.approx(-120), None)
+    assert all(map(math.isnan, got[1][:4])) and got[1][4] is None
+    assert got[2] == (None,) * 5
+    assert got[3] == pytest.approx((math.log2(880), 81, 1200, 10 * math.log10(880), 1200))
+    assert rows.select(X.cents("x", F.lit(0.0)).alias("c")).where("c IS NOT NULL").count() == 0
+
+
 def test_resample_of_a_value_of_zero(spark):
     # The logarithm of 0 is -inf: a line to it is 0 right after its start, where it is no number.
     points = spark.createDataFrame([("a", 0, 0.0, 4.0), ("a", 1, 2.0, 0.0), ("b", 0, 3.3, 0.0)], "k string, i long, t double, hz double")
