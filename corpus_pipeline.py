@@ -40,10 +40,14 @@ def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """
     groups = jaccard_groups(docs).where("doc_id <> component_id").select("doc_id").distinct()
     first = docs.join(saved(groups, "near-copies"), "doc_id", "left_anti")
+    # Whole texts are dealt out and sorted of repeated ids alone; the other rows, and those without an id, stay where they are.
+    repeated = saved(first.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1").select("doc_id"), "repeated")
+    if repeated.isEmpty():
+        return first.select(*docs.columns)
     same = Window.partitionBy("doc_id", F.sha2(F.col("text").cast("string"), 256)).orderBy(F.xxhash64(*docs.columns))
     nth = "__nth_of_id_and_text"
-    told = first.where("doc_id IS NOT NULL").withColumn(nth, F.row_number().over(same)).where(F.col(nth) == 1).select(*docs.columns)
-    return told.unionByName(first.where("doc_id IS NULL").select(*docs.columns))
+    told = first.join(repeated, "doc_id", "left_semi").withColumn(nth, F.row_number().over(same)).where(F.col(nth) == 1)
+    return told.select(*docs.columns).unionByName(first.join(repeated, "doc_id", "left_anti").select(*docs.columns))
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -64,6 +64,14 @@ def test_near_duplicates_keep_differing_texts_of_an_id(spark):
         before = one
 
 
+def test_near_duplicates_deal_out_texts_of_repeated_ids_alone(spark):
+    rows = [(k, f"text {k} of many unlike others that share no words with it x{k} y{k} z{k}", "en", "s", 3, "p") for k in range(40)] + [(None, "no id", "en", "s", 1, "p")] * 2
+    got = P.near_duplicates_stage(spark, spark.createDataFrame(rows, DOCS), SF)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(rows, key=str)
+    final = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "Window" not in final and "Sort" not in final
+
+
 @pytest.mark.parametrize("name", [name for name, _ in P.STAGES])
 def test_stages_take_any_rows_and_none(spark, name):
     stage = dict(P.STAGES)[name]
